@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import lookalike, repetition, term_counts
+from veilspark.llm import corpus_tokens, lookalike, packing, pii, repetition, term_counts
 
 _COLUMNS = {"patients": {"Age": None, "Pincode": None, "Gender": None}, "visits": {"Diagnosis": ";"}}
 
@@ -45,6 +45,52 @@ def p4_consistent(spark: SparkSession, d: str) -> DataFrame:
     return same.select("row_id", "Name_same", "Aadhaar_same", "Email_same")
 
 
+def _pii(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with findings of visits and of the claim documents' free-text entries."""
+    visits = _read(spark, d, "visits")
+    model = pii.fit_from(_read(spark, d, "name_lexicon"), visits, "Note")
+    notes = visits.select(F.lit("visits").alias("source_table"), F.col("visit_id").alias("record_id"), F.lit(-1).alias("page_pos"), F.lit("Note").alias("leaf_path"), F.col("Note").alias("text"))
+    entries = _read(spark, d, "claim_docs").select("claim_no", "doc_json").mapInArrow(pii.claim_texts, "record_id bigint, page_pos int, leaf_path string, text string")
+    claims = entries.select(F.lit("claim_docs").alias("source_table"), "record_id", "page_pos", "leaf_path", "text")
+    return pii.find(notes.unionByName(claims), ["source_table", "record_id", "page_pos", "leaf_path"], "text", model)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = _pii(spark, d)
+    return found.select("source_table", "record_id", "page_pos", "leaf_path", F.explode("found").alias("f")).select("source_table", "record_id", "page_pos", "leaf_path", "f.start_pos", "f.pii_type")
+
+
+def p5_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """Every text that holds personal information, with typed placeholders in its place."""
+    found = _pii(spark, d)
+    return found.select("source_table", "record_id", "page_pos", "leaf_path", pii.replace(F.col("text"), F.col("found")).alias("clean_text"))
+
+
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return corpus_tokens.encode(_read(spark, d, "documents").select("doc_id", "text"))
+
+
+def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text out of its ids: equal to the stored text, null as empty."""
+    return corpus_tokens.decode(p6_ids(spark, d))
+
+
+def _capacities(spark: SparkSession, d: str) -> list[tuple[str, int]]:
+    return [(r[0], r[1]) for r in _read(spark, d, "pack_sizes").select("size_name", "capacity_tokens").collect()]
+
+
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Where every document (or piece of one) lies, for each container size."""
+    return packing.pack(packing.sizes(p6_ids(spark, d)), _capacities(spark, d))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers and tokens of each size, and the share of the room that is used."""
+    caps = F.create_map(*[F.lit(x) for pair in _capacities(spark, d) for x in pair])
+    per = p7_packed(spark, d).groupBy("size_name").agg(F.count_distinct("container_id").alias("containers"), F.sum("n_tokens").alias("tokens"))
+    return per.select("size_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * caps[F.col("size_name")])).alias("used_share"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     marked = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"), thresholds=[repetition.Threshold("repeated", "repeated_share", ">=", 0.4)])
     return marked.filter(F.array_contains("marks", "repeated")).select("doc_id")
@@ -56,7 +102,7 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
     return p.select("doc_id", *[F.round(c, 9).alias(c) if c != "m_n_words" else F.col(c) for c in p.columns if c.startswith("m_")], F.array_join("marks", ",").alias("marks"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_consistent, p8_found, p8_profile)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_consistent, p5_found, p5_replaced, p6_ids, p6_decoded, p7_packed, p7_fill, p8_found, p8_profile)}
 
 _WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _TRIM = rf"regexp_replace(regexp_replace(nfc_normalize(t), '^{_WS}+', ''), '{_WS}+$', '')"
@@ -76,5 +122,6 @@ ORACLE = {
       SELECT column_name, term_text, 'rare' AS verdict FROM counts WHERE records <= 3
       UNION ALL SELECT column_name, term_text, 'common' FROM counts JOIN totals USING (column_name) WHERE occurrences * 10 > total""",
     "p3_counts": f"{_COUNTS} SELECT column_name, term_text, occurrences, records FROM counts",
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p8_found": f"{_RUNS} SELECT doc_id FROM share WHERE share >= 0.4",
 }
