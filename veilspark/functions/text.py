@@ -26,9 +26,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def trim_unicode(c: Column) -> Column:
-    """Strip Unicode white space at both ends; ASCII-only edges take the fast path."""
-    edge = F.lit(f"^[{WS}]|[{WS}]$")
-    return F.when(F.regexp_like(c, edge), F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")).otherwise(c)
+    """Strip Unicode white space at both ends."""
+    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
 
 
 def is_blank(c: Column) -> Column:
