@@ -488,8 +488,9 @@ def release(df: DataFrame, qis: Sequence[QI], node: Sequence[int], k: int, diver
     star = int(row["star"])
     publish = star == 0 or star >= k
     if publish and star and l > 1:
-        failing = labelled.join(bad, match, "left_semi")
-        counts = failing.agg(*[F.count_distinct(category(F.col(a))).alias(f"d{i}") for i, a in enumerate(diversity.attributes)]).first()
+        # no more than l distinct values of an attribute matter here either
+        failing = labelled.join(bad, match, "left_semi").select(*[category(F.col(a)).alias(f"a{i}") for i, a in enumerate(diversity.attributes)])
+        counts = failing.agg(*[F.count_distinct(f"a{i}").alias(f"d{i}") for i in range(len(diversity.attributes))]).first()
         publish = min(counts) >= l
     if star == 0:
         table = labelled
