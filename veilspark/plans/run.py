@@ -243,7 +243,7 @@ def run(spark: SparkSession, paths: Paths) -> dict:
     except Exception as e:
         text = str(e)
         code = next((x for x in ("DATA_MALFORMED_ROW", "DATA_JSON_INVALID", "FPE_VALUE_UNSUPPORTED", "FPE_DOMAIN_TOO_SMALL", "KEY_MATERIAL_INVALID", "PREPROCESSING_FAILED") if x in text), None)
-        code = code or ("DATA_MALFORMED_ROW" if "MALFORMED" in text else "INTERNAL_ERROR")
+        code = code or ("DATA_MALFORMED_ROW" if "MALFORMED" in text or "FAILED_READ_FILE" in text else "INTERNAL_ERROR")
         log.error("the run failed: %s", type(e).__name__)
         status = RunError(code, f"the run failed ({type(e).__name__})").payload()
     if status["status"] == "error":
