@@ -76,21 +76,43 @@ def consistent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumnsRenamed({f"__s{i}": f"{c}_same" + "_2" * (f"{c}_same" in taken) for i, c in enumerate(columns)})
 
 
+def look_classes(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
+    """``(id, form, same)`` of the rows whose ``columns`` look like those of a row stored differently.
+
+    The columns together are one value: its mapped forms are grouped under the collation
+    in SQL, the class keeps its smallest and largest stored form and its canonical member,
+    and only classes with two forms are joined back. Rows are shuffled once to be grouped
+    and once to be joined with those few classes.
+    """
+    c = list(columns)
+    looks = [mapped(F.col(f"`{x}`")).alias(f"k{i}") for i, x in enumerate(c)]
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.struct(*[F.col(f"`{x}`").alias(f"v{i}") for i, x in enumerate(c)]).alias("form"), *looks)
+    rows = rows.filter(" AND ".join(f"k{i} <> ''" for i in range(len(c))))
+    keys = [f"collate(k{i}, 'UNICODE')" for i in range(len(c))]
+    strange = " + ".join(f"length(regexp_replace(form.v{i}, '[ -~]', ''))" for i in range(len(c)))
+    return df.sparkSession.sql(
+        f"""
+        WITH canon AS (
+          SELECT {", ".join(f"{k} AS g{i}" for i, k in enumerate(keys))}, min_by(form, struct({strange}, form)) AS same
+          FROM {{rows}} GROUP BY {", ".join(keys)} HAVING min(form) <> max(form))
+        SELECT r.id, r.form, c.same FROM {{rows}} r JOIN canon c ON {" AND ".join(f"{k.replace('(k', '(r.k')} = c.g{i}" for i, k in enumerate(keys))}
+        """,
+        rows=rows,
+    )
+
+
 def same_looking_pairs(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
     """Pairs of rows whose ``columns`` all look the same while at least one is stored differently.
 
-    Only classes that hold at least two stored forms take part, and pairs are made
-    between stored forms before the rows of each form are joined on.
+    Pairs are made between the stored forms of a class, found by its canonical member,
+    before the rows of each form are joined on; equal copies are never compared.
     """
-    c = list(columns)
-    rows = consistent(df.select(F.col(id_col).alias("__id"), *c), c)
-    kept = rows.filter(" AND ".join(f"{x}_same IS NOT NULL" for x in c)).select("__id", F.struct(*[F.col(f"{x}_same") for x in c]).alias("cls"), F.struct(*c).alias("form"))
-    forms = kept.groupBy("cls", "form").agg(F.min("__id").alias("form_id"))
-    mixed = forms.groupBy("cls").agg(F.count("*").alias("n")).filter("n > 1").select("cls")
-    some = forms.join(mixed, "cls", "left_semi")
-    a, b = some.select("cls", F.col("form").alias("fa")), some.select("cls", F.col("form").alias("fb"))
-    pairs = a.join(b, "cls").filter(F.col("fa") != F.col("fb"))
-    left = kept.select(F.col("__id").alias("ida"), F.col("cls"), F.col("form").alias("fa"))
-    right = kept.select(F.col("__id").alias("idb"), F.col("cls"), F.col("form").alias("fb"))
-    both = left.join(pairs, ["cls", "fa"]).join(right, ["cls", "fb"]).filter("ida < idb")
+    from veilspark.session import cut
+
+    kept = cut(look_classes(df, id_col, columns))
+    forms = kept.select("same", "form").distinct()
+    pairs = forms.select("same", F.col("form").alias("fa")).join(forms.select("same", F.col("form").alias("fb")), "same").filter(F.col("fa") != F.col("fb"))
+    left = kept.select(F.col("id").alias("ida"), "same", F.col("form").alias("fa"))
+    right = kept.select(F.col("id").alias("idb"), "same", F.col("form").alias("fb"))
+    both = left.join(pairs, ["same", "fa"]).join(right, ["same", "fb"]).filter("ida < idb")
     return both.select(F.col("ida").alias("row_id_a"), F.col("idb").alias("row_id_b"))
