@@ -131,21 +131,26 @@ def packer(block: int, tight: float):
             waiting = loose
             return done
 
+        done: list = []  # closed containers, handed on some thousands at a time
         for f in frames:
             for n, cap, ident, size in zip(f["size_name"], f["capacity"], f["id"], f["size"]):
                 if n != name:
-                    if waiting:
-                        yield rows(close(True))
+                    if waiting or done:
+                        yield rows(done + close(True))
+                        done = []
                     name, capacity = n, cap
                 start = piece = 0
                 while size - start > capacity:  # only a document above the capacity is split
-                    yield rows([(0, [(ident, piece, start, capacity)])])
+                    done.append((0, [(ident, piece, start, capacity)]))
                     start, piece = start + capacity, piece + 1
                 waiting.append((ident, piece, start, size - start))
                 if len(waiting) >= block:
-                    yield rows(close(False))
-        if waiting:
-            yield rows(close(True))
+                    done += close(False)
+                if len(done) >= block:
+                    yield rows(done)
+                    done = []
+        if waiting or done:
+            yield rows(done + close(True))
 
     return run
 
