@@ -1,6 +1,6 @@
 """Fill fixed-capacity containers with documents that lie near each other.
 
-A document's token ids are hashed into a count vector, projected to four dimensions
+A document's token ids are hashed into a count vector, projected to six dimensions
 by a fixed random matrix and placed on a Hilbert curve. The documents are range-
 sorted by their place on the curve and each range is packed along it: block after
 block, largest first into the fullest container that still has room; containers that
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from veilspark.session import cut
 
-DIMENSIONS, BITS, BUCKETS = 4, 8, 256
+DIMENSIONS, BITS, BUCKETS = 6, 5, 256
 BLOCK = 4096
 #: A container at least this full is closed at the end of a block.
 TIGHT = 0.985

@@ -103,7 +103,7 @@ class TermStore:
             touched = [str(b) for b in range(self.buckets)]
             merged = delta
         out = f"{self.path}/update={update}"
-        merged.withColumn("bucket", bucket).repartition("bucket").write.partitionBy("bucket").parquet(out)
+        merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
         there = {s.getPath().getName().partition("=")[2] for s in self._fs.listStatus(self._file.getParent().suffix(f"/update={update}")) if s.isDirectory()}
         for b in touched:
             if b in there:
