@@ -576,9 +576,9 @@ def stream_classes(spark, d):
     return spark.table(name).select(F.col("span.start").cast("date").alias("day"), "event_type", "size")
 
 
-@query("WITH j AS (SELECT event_id, event_type, '[' || (user_id - user_id % 10) || '-' || (user_id - user_id % 10 + 9) || ']' AS user_id FROM events), c AS (SELECT *, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM j) SELECT event_id, user_id, event_type FROM c WHERE n >= 200")
+@query("WITH j AS (SELECT event_id, event_type, '[' || (user_id - user_id % 10) || '-' || (user_id - user_id % 10 + 9) || ']' AS user_id FROM events), c AS (SELECT *, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM j) SELECT event_id, user_id, event_type FROM c WHERE n >= 135")
 def stream_release(spark, d):
     stream = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select("event_id", "user_id", "event_type")
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    streams.publish(stream, [qi.uniform("user_id"), qi.categorical("event_type")], [10, 1], 200, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    streams.publish(stream, [qi.uniform("user_id"), qi.categorical("event_type")], [10, 1], 135, f"{at}/out", f"{at}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{at}/out/released")
