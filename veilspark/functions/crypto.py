@@ -200,10 +200,16 @@ def ff1(numbers: Sequence[int], width: int, tweak: bytes, key: bytes, encrypt: b
     pad = (-len(tweak) - b - 1) % 16
     left, right = [x // ten_v for x in numbers], [x % ten_v for x in numbers]
     first = encrypt_blocks(_rows([p], 16), keys)
+    # whole blocks of the tweak are the same for every value and round
+    same = len(tweak) // 16 * 16
+    for at in range(0, same, 16):
+        first = encrypt_blocks(first ^ np.frombuffer(tweak[at : at + 16], np.uint8), keys)
+    rest = tweak[same:]
     for step in range(10):
         i = step if encrypt else 9 - step
         source = right if encrypt else left
-        q = [tweak + bytes(pad) + bytes([i]) + x.to_bytes(b, "big") for x in source]
+        head = rest + bytes(pad) + bytes([i])
+        q = [head + x.to_bytes(b, "big") for x in source]
         data = _rows(q, len(q[0]))
         r = np.repeat(first, len(q), 0)
         for at in range(0, data.shape[1], 16):

@@ -8,6 +8,7 @@ published labels, and a join of the rows with the labels of failing classes.
 """
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -16,8 +17,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilspark.operators.qi import INLINE, QI, category
+from veilspark.operators.qi import INLINE, QI, bind_counts, category, typed, value_counts
 from veilspark.plans.errors import RunError
+from veilspark.session import spread
 
 MAX_NODES = 1_000_000
 #: A histogram of up to this many cells is scored on the driver.
@@ -35,29 +37,47 @@ def allowed(sigma: float, records: int) -> int:
 # histogram
 
 
-def coordinates(df: DataFrame, qis: Sequence[QI], keep: Sequence[Column] = ()) -> DataFrame:
-    """``c0 … cn``: the base coordinate of every row, and ``keep``."""
-    out = df.select(*[q.cell().alias(f"__v{i}") for i, q in enumerate(qis)], *keep)
+def placed(values: DataFrame, qis: Sequence[QI]) -> DataFrame:
+    """``v0 … vn`` of a frame as base coordinates ``c0 … cn``; other columns stay."""
+    out = values
     for i, q in enumerate(qis):
-        v = F.col(f"__v{i}")
+        v = F.col(f"v{i}")
         if q.kind != "category":
             out = out.withColumn(f"c{i}", q.fine(v))
         elif len(q.domain) <= INLINE:
             out = out.withColumn(f"c{i}", F.coalesce(F.array_position(F.array(*[F.lit(x) for x in q.domain]), v), F.lit(0)).cast("bigint") - 1 if q.domain else F.lit(-1).cast("bigint"))
         else:  # at most MAX_DOMAIN short rows; Spark decides by their size whether to broadcast
-            table = df.sparkSession.createDataFrame([(x, j) for j, x in enumerate(q.domain)], f"__d{i} string, c{i} bigint")
+            table = values.sparkSession.createDataFrame([(x, j) for j, x in enumerate(q.domain)], f"__d{i} string, c{i} bigint")
             out = out.join(table, v == F.col(f"__d{i}"), "left").drop(f"__d{i}").withColumn(f"c{i}", F.coalesce(f"c{i}", F.lit(-1).cast("bigint")))
-    return out.drop(*[f"__v{i}" for i in range(len(qis))])
+    return out.drop(*[f"v{i}" for i in range(len(qis))])
 
 
-def histogram(df: DataFrame, qis: Sequence[QI], initial: Sequence[int] | None = None) -> DataFrame:
+def coordinates(df: DataFrame, qis: Sequence[QI], keep: Sequence[Column] = ()) -> DataFrame:
+    """``c0 … cn``: the base coordinate of every row, and ``keep``."""
+    return placed(df.select(*[q.cell().alias(f"v{i}") for i, q in enumerate(qis)], *keep), qis)
+
+
+def histogram_of(counts: DataFrame, qis: Sequence[QI], initial: Sequence[int] | None = None) -> DataFrame:
     """``(c0 … cn, n)``: rows per base cell; uniform coordinates floored to the initial width."""
-    at = coordinates(df, qis)
+    at = placed(counts, qis)
     for i, (q, w) in enumerate(zip(qis, initial or [1] * len(qis))):
         if q.kind == "uniform" and w > 1:
             c = F.col(f"c{i}")
             at = at.withColumn(f"c{i}", F.when(c < 0, c).otherwise(c - c % w))
-    return at.groupBy(*[f"c{i}" for i in range(len(qis))]).agg(F.count("*").alias("n"))
+    return at.groupBy(*[f"c{i}" for i in range(len(qis))]).agg(F.sum("n").alias("n"))
+
+
+def histogram(df: DataFrame, qis: Sequence[QI], initial: Sequence[int] | None = None) -> DataFrame:
+    """:func:`histogram_of` of a table."""
+    return histogram_of(value_counts(df, qis), qis, initial)
+
+
+def prepare(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int, DataFrame]:
+    """Bound quasi-identifiers, number of rows, and the counts that all else is made of: one pass over the rows."""
+    known = typed(df, qis)
+    counts = value_counts(spread(df.select(*[f"`{q.name}`" for q in known])), known).persist()
+    bound, records = bind_counts(counts, known)
+    return bound, records, counts
 
 
 def radices(qis: Sequence[QI]) -> list[int]:
@@ -201,7 +221,9 @@ class Scorer:
 
     def classes(self, nodes: Sequence[Sequence[int]]) -> DataFrame:
         """``(node, g0 … gn, n, diverse)``: the classes of many nodes in one aggregation."""
-        levels = F.array(*[F.struct(F.lit(i).alias("node"), *[F.lit(int(v)).cast("bigint").alias(f"l{j}") for j, v in enumerate(n)]) for i, n in enumerate(nodes)])
+        # a constant of the plan, written as one literal
+        listed = json.dumps([{"node": i} | {f"l{j}": int(v) for j, v in enumerate(n)} for i, n in enumerate(nodes)])
+        levels = F.from_json(F.lit(listed), "array<struct<node:int," + ",".join(f"l{j}:bigint" for j in range(len(self.qis))) + ">>")
         keys = [q.coarse(F.col(f"c{i}"), F.col(f"x.l{i}")).alias(f"g{i}") for i, q in enumerate(self.qis)]
         names = ["node", *[f"g{i}" for i in range(len(self.qis))]]
         sizes = self.hist.select("*", F.explode(levels).alias("x")).select("x.node", *keys, "n").groupBy(*names).agg(F.sum("n").alias("n"))
@@ -311,10 +333,11 @@ def search(scorer: Scorer, initial: Sequence[int], k: int, sigma: float, records
     lat = Lattice.build(scorer.qis, initial)
     status: list[bool | None] = [None] * len(lat.nodes)
     open_in = [len(x) for x in lat.levels]
+    descending = [sorted(x, key=lambda n: lat.nodes[n], reverse=True) for x in lat.levels]
     passing, trace = [], []
     while levels := [i for i, n in enumerate(open_in) if n]:
         level = levels[len(levels) // 2]
-        candidates = sorted((n for n in lat.levels[level] if status[n] is None), key=lambda n: lat.nodes[n], reverse=True)
+        candidates = descending[level] = [n for n in descending[level] if status[n] is None]
         at = candidates[len(candidates) // 2]
         if ahead and scorer.local is None:
             scorer.scores(lat.nodes[n] for n in candidates)
@@ -361,10 +384,12 @@ def parameter_grid(scorer: Scorer, initial: Sequence[int], records: int, ks: Seq
     combos = [(k, s) for k in ks for s in sigmas]
     status = [[None] * len(combos) for _ in lat.nodes]
     left = [len(combos)] * len(lat.nodes)
+    open_in = [len(x) for x in lat.levels]
+    descending = [sorted(x, key=lambda n: lat.nodes[n], reverse=True) for x in lat.levels]
     seen: list[int] = []
-    while levels := [i for i, nodes in enumerate(lat.levels) if any(left[n] for n in nodes)]:
+    while levels := [i for i, n in enumerate(open_in) if n]:
         level = levels[len(levels) // 2]
-        candidates = sorted((n for n in lat.levels[level] if left[n]), key=lambda n: lat.nodes[n], reverse=True)
+        candidates = descending[level] = [n for n in descending[level] if left[n]]
         if scorer.local is None:
             scorer.scores(lat.nodes[n] for n in candidates)
         at = candidates[len(candidates) // 2]
@@ -378,6 +403,8 @@ def parameter_grid(scorer: Scorer, initial: Sequence[int], records: int, ks: Seq
                     return False
                 status[j][c] = ok
                 left[j] -= 1
+                if not left[j]:
+                    open_in[lat.level_of[j]] -= 1
                 return True
 
             settle(at)

@@ -22,6 +22,7 @@ from veilspark.functions.keys import KeyFolder, salt_key
 from veilspark.operators.policy import Action, Policy
 from veilspark.operators.techniques import Tokens, Vault, hash_value
 from veilspark.plans.errors import RunError
+from veilspark.session import spread
 
 CENSUS = "array<struct<path:string,non_empty:boolean,action:string,matched_by:string,example:string>>"
 CENSUS_TYPE = pa.list_(pa.struct([("path", pa.string()), ("non_empty", pa.bool_()), ("action", pa.string()), ("matched_by", pa.string()), ("example", pa.string())]))
@@ -203,7 +204,7 @@ def _anonymiser(policy: Policy, keys: Keys, with_tokens: bool):
 def anonymise(docs: DataFrame, policy: Policy, keys: KeyFolder, vault: Vault | None = None, shared_salt: bool = True, contexts: dict | None = None) -> DataFrame:
     """``(file_name, document, census)`` of ``docs`` (file_name, doc); document is null where JSON is broken."""
     held = Keys(salt_key(keys.salt("nested_json", shared_salt), "nested_json"), {r.pattern: keys.key(r.pattern) for r in policy.rules if r.action.kind == "encrypt"}, {}, contexts or {})
-    docs = docs.select(F.col("file_name"), F.col("doc"))
+    docs = spread(docs.select(F.col("file_name"), F.col("doc")), "file_name")
     tokenised = {r.pattern: Tokens(r.pattern, r.action.prefix, r.action.digits) for r in policy.rules if r.action.kind == "tokenization"}
     out = f"file_name string, document string, census {CENSUS}"
     if not tokenised:

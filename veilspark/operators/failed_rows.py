@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspark.functions.text import is_blank, let, trim_unicode
+from veilspark.session import spread
 
 RECORD = "#record"
 _SEP, _ESC = "\u0001", "\u0002"
@@ -95,8 +96,8 @@ def load(df: DataFrame, id_col: str, raw_col: str, columns: Sequence[str] = INTA
     rules = list(intake_rules() if rules is None else rules)
     spark = df.sparkSession
     parsed = (
-        df.filter(~is_blank(F.col(raw_col)))
-        .select(F.col(id_col).alias("__id"), F.col(raw_col).alias("__raw"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)])
+        spread(df.select(F.col(id_col).alias("__id"), F.col(raw_col).alias("__raw"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)]), "__raw")
+        .filter(~is_blank(F.col("__raw")))
         .withColumn("__p", parse_record(F.col("__raw")))
     )
     ruled = [c for c in columns if any(r.column == c for r in rules)]

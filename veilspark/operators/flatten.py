@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspark.functions.text import let
+from veilspark.session import spread
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,8 @@ def _children(e: Column) -> Column:
 def documents(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """``(id, doc, case_id)`` with ``doc`` VARIANT or null."""
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    doc = df.select(F.col(id_col).alias("claim_no"), parse_json(F.col(json_col)).alias("doc"))
+    rows = spread(df.select(F.col(id_col).alias("claim_no"), F.col(json_col).alias("text")), "claim_no")
+    doc = rows.select("claim_no", parse_json(F.col("text")).alias("doc"))
     text = lambda p: F.try_variant_get("doc", p, "string")
     return doc.select("claim_no", "doc", F.coalesce(text("$.case_id"), F.lit("")).alias("case_id"))
 

@@ -25,15 +25,31 @@ INLINE = 256
 Ladders = Mapping[str, Mapping[str, Sequence[str]]]
 
 
-def number(c: Column) -> Column:
+def _rounded(d: Column) -> Column:
+    """A double as a whole number, half away from zero; exact, since the fraction of a double is."""
+    a = F.abs(d)
+    whole = F.floor(a)
+    up = whole + F.when(a - whole >= 0.5, 1).otherwise(0)
+    return F.when(a <= EXACT, F.when(d < 0, -up).otherwise(up).cast("bigint"))
+
+
+def number(c: Column, kind: str = "string") -> Column:
     """The whole number of a numeric quasi-identifier cell, or null.
 
     Trimmed, parsed as a finite decimal number, rounded half away from zero, at most
     2^53 in size. Forms that only some parsers take (``1d``, ``0x1``, ``1_0``) are none.
+    Columns of a numeric type (``kind``) are taken as they are.
     """
-    t = trim_unicode(c.cast("string"))
-    d = F.when(F.regexp_like(t, F.lit(r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z")), t.try_cast("double"))
-    return F.when(F.abs(d) <= EXACT, F.round(d, 0).cast("bigint"))
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.when(F.abs(c.cast("bigint")) <= EXACT, c.cast("bigint"))
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        d = c.cast("double")
+        return F.when(~F.isnan(d), _rounded(d))
+    # digits, signs, point and exponent only: what Java parses of these is a decimal number
+    plain = F.lit(r"\A[0-9.eE+-]+\z")
+    text = c.cast("string")
+    trimmed = trim_unicode(text)
+    return _rounded(F.when(F.regexp_like(text, plain), text.try_cast("double")).when(F.regexp_like(trimmed, plain), trimmed.try_cast("double")))
 
 
 def category(c: Column) -> Column:
@@ -120,6 +136,7 @@ class QI:
     intervals: Intervals | None = None
     ladder: Mapping[str, Sequence[str]] | None = None
     domain: tuple[str, ...] = ()
+    dtype: str = "string"
     groups: tuple[tuple[int, ...], ...] = field(default=())  # groups[level - 1][domain place]
     labels: tuple[tuple[str, ...], ...] = field(default=())
 
@@ -179,7 +196,8 @@ class QI:
 
     def cell(self) -> Column:
         """The compared value of a row: a whole number or a category."""
-        return category(F.col(self.name)) if self.kind == "category" else number(F.col(self.name))
+        c = F.col(f"`{self.name}`")
+        return category(c) if self.kind == "category" else number(c, self.dtype)
 
     def fine(self, v: Column) -> Column:
         """The base coordinate of a compared number (categories are placed by :func:`placed`)."""
@@ -236,47 +254,47 @@ def categorical(name: str, ladders: Ladders | None = None) -> QI:
     return QI(name, "category", ladder=ladder_of(ladders or {}, name))
 
 
-@dataclass(frozen=True)
-class Profile:
-    """One pass over the data: rows, and minimum and maximum of each numeric column."""
-
-    records: int
-    ranges: dict[str, tuple[int, int]]
+def typed(df: DataFrame, qis: Sequence[QI]) -> list[QI]:
+    """The quasi-identifiers with the types of their columns."""
+    if not qis:
+        raise RunError("ANON_NO_QIS", "no quasi-identifiers are named")
+    missing = [q.name for q in qis if q.name not in df.columns]
+    if missing:
+        raise RunError("DATA_COLUMN_MISSING", "a quasi-identifier is not in the header", missing[0])
+    return [replace(q, dtype=df.schema[q.name].dataType.simpleString()) for q in qis]
 
 
-def profile(df: DataFrame, qis: Sequence[QI]) -> Profile:
-    """Count rows and find the range of each numeric quasi-identifier in one aggregation."""
-    numeric = [q for q in qis if q.kind != "category"]
-    row = df.agg(F.count("*").alias("n"), *[f(q.cell()).alias(f"{p}{i}") for i, q in enumerate(numeric) for p, f in (("lo", F.min), ("hi", F.max))]).first()
-    return Profile(row["n"], {q.name: (row[f"lo{i}"] or 0, row[f"hi{i}"] or 0) for i, q in enumerate(numeric)})
+def value_counts(df: DataFrame, qis: Sequence[QI]) -> DataFrame:
+    """``(v0 … vn, n)``: rows per combination of compared values; the one pass over the rows."""
+    return df.select(*[q.cell().alias(f"v{i}") for i, q in enumerate(qis)]).groupBy(*[f"v{i}" for i in range(len(qis))]).agg(F.count("*").alias("n"))
 
 
-def domains(df: DataFrame, qis: Sequence[QI]) -> DataFrame:
-    """``(column_name, value)``: the distinct compared values of the categorical ones."""
-    cells = F.array(*[F.struct(F.lit(q.name).alias("column_name"), q.cell().alias("value")) for q in qis if q.kind == "category"])
-    return df.select(F.explode(cells).alias("c")).select("c.*").distinct()
+def domains(counts: DataFrame, qis: Sequence[QI]) -> DataFrame:
+    """``(column_name, value)``: the distinct values of the categorical ones, from the counts."""
+    cells = F.array(*[F.struct(F.lit(q.name).alias("column_name"), F.col(f"v{i}").alias("value")) for i, q in enumerate(qis) if q.kind == "category"])
+    return counts.select(F.explode(cells).alias("c")).select("c.*").distinct()
 
 
 #: A categorical quasi-identifier with more distinct values than this is refused.
 MAX_DOMAIN = 100_000
 
 
-def bind(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
+def bind_counts(counts: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
     """The quasi-identifiers with ranges and domains of the data, and the number of rows."""
-    if not qis:
-        raise RunError("ANON_NO_QIS", "no quasi-identifiers are named")
-    missing = [q.name for q in qis if q.name not in df.columns]
-    if missing:
-        raise RunError("DATA_COLUMN_MISSING", "a quasi-identifier is not in the header", missing[0])
-    found = profile(df, qis)
-    bound = [replace(q, low=found.ranges[q.name][0], high=found.ranges[q.name][1]) if q.kind == "uniform" else q for q in qis]
+    numeric = [i for i, q in enumerate(qis) if q.kind != "category"]
+    found = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[f(f"v{i}").alias(f"{p}{i}") for i in numeric for p, f in (("lo", F.min), ("hi", F.max))]).first()
+    bound = [replace(q, low=found[f"lo{i}"] or 0, high=found[f"hi{i}"] or 0) if q.kind == "uniform" else q for i, q in enumerate(qis)]
     if any(q.kind == "category" for q in bound):
-        names = [q.name for q in bound if q.kind == "category"]
-        rows = domains(df, bound).limit(MAX_DOMAIN * len(names) + 1).collect()
-        per: dict[str, list[str]] = {n: [] for n in names}
-        for c, v in rows:
+        per: dict[str, list[str]] = {q.name: [] for q in bound if q.kind == "category"}
+        for c, v in domains(counts, bound).limit(MAX_DOMAIN * len(per) + 1).collect():
             per[c].append(v)
         if any(len(v) > MAX_DOMAIN for v in per.values()):
             raise RunError("LATTICE_TOO_LARGE", "a categorical quasi-identifier has too many distinct values", max(per, key=lambda c: len(per[c])))
         bound = [q.with_domain(per[q.name]) if q.kind == "category" else q for q in bound]
-    return bound, found.records
+    return bound, found["n"]
+
+
+def bind(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
+    """:func:`bind_counts` of a table."""
+    qis = typed(df, qis)
+    return bind_counts(value_counts(df, qis).persist(), qis)

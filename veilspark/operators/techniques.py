@@ -25,7 +25,7 @@ from veilspark.functions import crypto, mask
 from veilspark.functions.keys import KeyFolder, private_dir, salt_key, write_secret
 from veilspark.functions.text import nfc, trim_unicode
 from veilspark.plans.errors import RunError
-from veilspark.session import cut
+from veilspark.session import cut, spread
 
 
 def missing(c: Column) -> Column:
@@ -246,6 +246,8 @@ def apply(df: DataFrame, t: Techniques, keys: KeyFolder, vault: Vault | None = N
         if c not in df.columns or (kind != "suppress" and c in t.suppress):
             raise RunError("PREPROCESS_COLUMN_MISSING", "a technique names a column that is not there", f"{kind}: {c}")
     out = df.drop(*t.suppress)
+    if t.cloak or t.encrypt or any(not m.built_in for m in t.masks):
+        out = spread(out)  # what Python workers do is worth all cores
     held = lambda c, new: F.when(missing(F.col(c)), F.col(c)).otherwise(new)
     for c in t.hashing:
         out = out.withColumn(c, held(c, keyed_hash(identifier(F.col(c)), keys.salt(c, t.shared_salts), c)))

@@ -1,6 +1,7 @@
 """Queries of the anonymisation operators over the test tables, with their SQL."""
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from veilspark.operators import anonymise as an
 from veilspark.operators import bundles, documents, qi, sheets
 from veilspark.operators import techniques as tq
 from veilspark.operators.policy import parse_policy
-from veilspark.session import shared_dir
+from veilspark.session import shared_dir, spread
 from veilspark.streaming import release as streams
 
 QUERIES: dict = {}
@@ -47,13 +48,15 @@ def _strip(c: str) -> str:
 
 @query("SELECT min(CAST(round(c_acctbal) AS BIGINT)) AS lo, max(CAST(round(c_acctbal) AS BIGINT)) AS hi, count(*) AS n FROM customer")
 def qi_minmax(spark, d):
-    v = qi.uniform("c_acctbal").cell()
-    return _t(spark, d, "customer", "c_acctbal").agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count("*").alias("n"))
+    df = _t(spark, d, "customer", "c_acctbal")
+    v = qi.typed(df, [qi.uniform("c_acctbal")])[0].cell()
+    return df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT 'o_orderpriority' AS column_name, o_orderpriority AS value FROM orders UNION ALL SELECT DISTINCT 'o_orderstatus', o_orderstatus FROM orders")
 def qi_domain(spark, d):
-    return qi.domains(_t(spark, d, "orders", "o_orderpriority", "o_orderstatus"), [qi.categorical("o_orderpriority"), qi.categorical("o_orderstatus")])
+    qis = [qi.categorical("o_orderpriority"), qi.categorical("o_orderstatus")]
+    return qi.domains(qi.value_counts(_t(spark, d, "orders"), qis), qis)
 
 
 @query(f"WITH a AS (SELECT row_id, {_strip('Age')} AS t FROM patients) SELECT row_id, {_NUM} AS age FROM a")
@@ -74,8 +77,8 @@ LINE_K = (50, 200, 1000, 5000)
 
 def _line(spark, d):
     df = _t(spark, d, "lineitem", *LINE)
-    qis, n = qi.bind(df, [qi.uniform("l_quantity", 2), qi.uniform("l_linenumber", 2), qi.categorical("l_returnflag"), qi.categorical("l_linestatus")])
-    return df, qis, n
+    qis, n, counts = an.prepare(df, [qi.uniform("l_quantity", 2), qi.uniform("l_linenumber", 2), qi.categorical("l_returnflag"), qi.categorical("l_linestatus")])
+    return an.histogram_of(counts, qis), qis, n
 
 
 _BASE = """b AS (SELECT CAST(min(l_quantity) AS BIGINT) AS q0, CAST(max(l_quantity) AS BIGINT) AS q1, min(l_linenumber)::BIGINT AS n0, max(l_linenumber)::BIGINT AS n1 FROM lineitem),
@@ -93,41 +96,41 @@ _NODES = f"""{_BASE},
 
 @query(f"WITH {_BASE} SELECT * FROM hist")
 def base_histogram(spark, d):
-    df, qis, _ = _line(spark, d)
-    return an.histogram(df, qis)
+    hist, qis, _ = _line(spark, d)
+    return hist
 
 
 @query(f"WITH {_BASE} SELECT ((c0 + 1) * (n1 - n0 + 2) + c1 + 1) * (SELECT count(*) FROM flags) * (SELECT count(*) FROM states) + c2 * (SELECT count(*) FROM states) + c3 AS z, n FROM hist, b")
 def z_histogram(spark, d):
-    df, qis, _ = _line(spark, d)
-    return an.z_histogram(an.histogram(df, qis), qis)
+    hist, qis, _ = _line(spark, d)
+    return an.z_histogram(hist, qis)
 
 
 @query(f"WITH {_BASE} SELECT c0, c1, c2, c3, n FROM hist")
 def z_decoded(spark, d):
-    df, qis, _ = _line(spark, d)
-    return an.z_decode(an.z_histogram(an.histogram(df, qis), qis), qis)
+    hist, qis, _ = _line(spark, d)
+    return an.z_decode(an.z_histogram(hist, qis), qis)
 
 
 @query(f"WITH {_BASE} SELECT c0 // 8 AS g0, c1 // 2 AS g1, c2 AS g2, 0::BIGINT AS g3, sum(n)::BIGINT AS n FROM hist GROUP BY ALL")
 def merge_node(spark, d):
-    df, qis, _ = _line(spark, d)
-    return an.merge(an.histogram(df, qis), qis, [8, 2, 1, 2])
+    hist, qis, _ = _line(spark, d)
+    return an.merge(hist, qis, [8, 2, 1, 2])
 
 
 @query(f"WITH {_BASE} SELECT count(*) AS buckets, min(n) AS smallest, max(n) AS largest, count(*) FILTER (n < 5) AS below_5, count(*) FILTER (n >= 5 AND n < 50) AS below_50, count(*) FILTER (n >= 50) AS from_50 FROM hist")
 def histogram_diagnostic(spark, d):
-    df, qis, _ = _line(spark, d)
+    hist, qis, _ = _line(spark, d)
     n = F.col("n")
-    return an.histogram(df, qis).agg(F.count("*").alias("buckets"), F.min(n).alias("smallest"), F.max(n).alias("largest"), F.count_if(n < 5).alias("below_5"), F.count_if((n >= 5) & (n < 50)).alias("below_50"), F.count_if(n >= 50).alias("from_50"))
+    return hist.agg(F.count("*").alias("buckets"), F.min(n).alias("smallest"), F.max(n).alias("largest"), F.count_if(n < 5).alias("below_5"), F.count_if((n >= 5) & (n < 50)).alias("below_50"), F.count_if(n >= 50).alias("from_50"))
 
 
 @query(f"WITH {_NODES} SELECT a AS l0, b AS l1, f AS l2, s AS l3, k, suppressed, dm_star, classes FROM scores")
 def node_scores(spark, d):
-    df, qis, _ = _line(spark, d)
+    hist, qis, _ = _line(spark, d)
     nodes = an.Lattice.build(qis, [1] * 4).nodes
-    classes = an.Scorer(an.histogram(df, qis), qis, LINE_K, local_cells=0).classes(nodes)
-    levels = F.element_at(F.array(*[F.array(*[F.lit(int(v)).cast("bigint") for v in n]) for n in nodes]), F.col("node") + 1)
+    classes = an.Scorer(hist, qis, LINE_K, local_cells=0).classes(nodes)
+    levels = F.element_at(F.from_json(F.lit(json.dumps(nodes)), "array<array<bigint>>"), F.col("node") + 1)
     ks = F.explode(F.array(*[F.lit(k) for k in LINE_K]))
     n, k = F.col("n"), F.col("k")
     per = classes.select("node", "n", ks.alias("k")).groupBy("node", "k").agg(F.sum(F.when(n < k, n).otherwise(0)).alias("suppressed"), F.sum(F.when(n >= k, n * n).otherwise(0)).alias("dm_star"), F.count_if(n >= k).alias("classes"))
@@ -135,8 +138,8 @@ def node_scores(spark, d):
 
 
 def _scorer(spark, d, ks=LINE_K):
-    df, qis, n = _line(spark, d)
-    return an.Scorer(an.histogram(df, qis), qis, ks), n
+    hist, qis, n = _line(spark, d)
+    return an.Scorer(hist, qis, ks), n
 
 
 @query(f"WITH {_NODES}, best AS (SELECT k, min({{'dm': dm_star, 's': suppressed, 'c': -classes, 'n': [a, b, f, s]}}) AS x FROM scores, (SELECT count(*) AS total FROM lineitem) WHERE suppressed <= floor(0.01 * total + 1e-9) GROUP BY k) SELECT k, x.dm AS dm_star, x.s AS suppressed, -x.c AS classes, array_to_string(x.n, ',') AS node FROM best")
@@ -169,8 +172,8 @@ def top_nodes(spark, d):
   SELECT max(n) AS k_optimal FROM r WHERE before <= floor(0.05 * (SELECT count(*) FROM orders) + 1e-9)""")
 def k_optimal(spark, d):
     df = _t(spark, d, "orders", "o_totalprice", "o_orderpriority")
-    qis, n = qi.bind(df, [qi.uniform("o_totalprice", 10), qi.categorical("o_orderpriority")])
-    return spark.createDataFrame([(an.k_optimal(an.histogram(df, qis), qis, 0.05, n),)], "k_optimal bigint")
+    qis, n, counts = an.prepare(df, [qi.uniform("o_totalprice", 10), qi.categorical("o_orderpriority")])
+    return spark.createDataFrame([(an.k_optimal(an.histogram_of(counts, qis), qis, 0.05, n),)], "k_optimal bigint")
 
 
 @query(f"WITH {_NODES}, b4 AS (SELECT DISTINCT a, b, f, s FROM nodes), e AS (SELECT b4.*, ceil((q1 - q0 + 1) / a) * ceil((n1 - n0 + 1) / b4.b) * CASE WHEN f = 1 THEN (SELECT count(*) FROM flags) ELSE 1 END * CASE WHEN s = 1 THEN (SELECT count(*) FROM states) ELSE 1 END AS e FROM b4, b) SELECT array_to_string(min([a, b, f, s]), ',') AS node FROM e WHERE e <= 100")
@@ -331,13 +334,13 @@ def cloak_shape(spark, d):
 @query("SELECT c_custkey, c_name FROM customer")
 def encrypt_roundtrip(spark, d):
     e = tq.Encryption("c_name")
-    return _t(spark, d, "customer", "c_custkey", "c_name").select("c_custkey", tq.decrypt_column(tq.encrypt_column(F.col("c_name"), e, SALT), e, SALT).alias("c_name"))
+    return spread(_t(spark, d, "customer", "c_custkey", "c_name"), "c_custkey").select("c_custkey", tq.decrypt_column(tq.encrypt_column(F.col("c_name"), e, SALT), e, SALT).alias("c_name"))
 
 
 @query("SELECT c_custkey, c_name FROM customer")
 def fpe_roundtrip(spark, d):
     e = tq.Encryption("c_name", True)
-    return _t(spark, d, "customer", "c_custkey", "c_name").select("c_custkey", tq.decrypt_column(tq.encrypt_column(F.col("c_name"), e, SALT), e, SALT).alias("c_name"))
+    return spread(_t(spark, d, "customer", "c_custkey", "c_name"), "c_custkey").select("c_custkey", tq.decrypt_column(tq.encrypt_column(F.col("c_name"), e, SALT), e, SALT).alias("c_name"))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -496,6 +499,7 @@ def _bundles(spark, d) -> DataFrame:
     """One bundle per customer: a patient, and an observation for each of the first orders."""
     orders = _t(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice").groupBy("o_custkey").agg(F.slice(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))), 1, 5).alias("os"))
     c = _t(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    c = c.repartition(spark.sparkContext.defaultParallelism, "c_custkey")  # small rows that become costly documents
     patient = F.struct(F.struct(F.lit("Patient").alias("resourceType"), F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("id"), F.array(F.struct(F.col("c_name").alias("text"))).alias("name"), F.col("c_mktsegment").alias("gender")).alias("resource"))
     seen = lambda o: F.struct(F.struct(F.lit("Observation").alias("resourceType"), F.concat(F.lit("o"), o["o_orderkey"].cast("string")).alias("id"), F.struct(F.lit("Total price").alias("text")).alias("code"), o["o_totalprice"].cast("string").alias("valueString"), F.struct(F.concat(F.lit("Patient/p"), F.col("c_custkey").cast("string")).alias("reference")).alias("subject")).alias("resource"))
     # both kinds of entry as text, since their fields differ

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from veilspark.functions.keys import KeyFolder, outside
 from veilspark.operators import anonymise, bundles, documents, sheets, techniques
 from veilspark.operators.policy import parse_policy
-from veilspark.operators.qi import QI, bind, profile
+from veilspark.operators.qi import QI
 from veilspark.plans import config as configuration
 from veilspark.plans.config import Config
 from veilspark.plans.errors import RunError
@@ -150,7 +150,7 @@ def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
         return {"pass": "preprocess_only", **common, **publish(table, c, paths, source)}
     if c.diversity and (gone := [a for a in c.diversity.attributes if a not in table.columns]):
         raise RunError("DATA_COLUMN_MISSING", "a sensitive attribute is not in the table", gone[0])
-    qis, records = bind(table, c.qis)
+    qis, records, value_counts = anonymise.prepare(table, c.qis)
     if not records:
         raise RunError("DATA_EMPTY", "the table has no rows")
     if c.run_pass == "pass2" and c.node is not None:
@@ -158,7 +158,7 @@ def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
         return _released(c, paths, source, table, qis, node, {"pass": c.run_pass, "flow": "CHOSEN_NODE", "generalization_node": c.node, "top_ola2_nodes": [], "parameter_grid": [], **common})
     flow = anonymise.choose_flow(c.flow, records, qis)
     initial = [1] * len(qis) if flow == "direct" else anonymise.first_node(qis, c.max_classes)
-    hist = anonymise.histogram(table, qis, initial)
+    hist = anonymise.histogram_of(value_counts, qis, initial)
     values = anonymise.sensitive_values(table, qis, c.diversity.attributes, c.diversity.l).persist() if c.diversity else None
     want_grid = c.run_pass != "pass2" and c.grid
     ks = sorted({*([c.k] if c.k else []), *(anonymise.GRID_K if want_grid else ())}) or [1]
@@ -255,4 +255,4 @@ def run(spark: SparkSession, paths: Paths) -> dict:
     return status
 
 
-__all__ = ["Paths", "Input", "run", "run_table", "run_documents", "read_input", "profile"]
+__all__ = ["Paths", "Input", "run", "run_table", "run_documents", "read_input"]

@@ -49,3 +49,17 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores.
+
+    Only where a plain scan has fewer splits than cores (so its size is bounded by
+    cores times the split size) its rows are shuffled; larger inputs, and plans that
+    shuffle anyway, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString() or plan.toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
