@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilspark.session import cut
+from veilspark.session import cut, spread
 
 CHUNK, OVERLAP = 65_536, 2_048
 #: Boundaries this close to the end of a chunk that goes on may depend on what follows.
@@ -108,7 +108,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     if overlap <= MARGIN or overlap > chunk:
         raise ValueError("the overlap must exceed the margin and not the chunk")
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
     kind = rows.schema["id"].dataType.simpleString()
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     short = rows.filter(~is_long).mapInArrow(encoder(path, 1), f"id {kind}, ids array<int>")

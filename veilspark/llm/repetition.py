@@ -1,8 +1,9 @@
 """Repetition and other quality ratios of single documents, in one projection.
 
 A threshold table (metric, comparison, limit) is compiled into one Spark projection
-of length, symbol, stop-word, line and repetition ratios. No user function and no
-shuffle: all ratios of a document are computed in its own row. The repeated share
+of length, symbol, stop-word, line and repetition ratios. No user function: all ratios
+of a document are computed in its own row, without a shuffle (but for an input of fewer
+splits than cores, which is spread first). The repeated share
 sorts the hashes of the document's 8-word runs, so it takes n log n of its words.
 
 Defined results: null and empty texts have 0 words, share 0 and ratios 0; fewer than
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspark.functions.text import WS, let
+from veilspark.session import spread
 
 # Frequent function words of the five languages of the collection.
 STOP_WORDS = (
@@ -91,6 +93,7 @@ def profile(df: DataFrame, text_col: str = "text", thresholds: Sequence[Threshol
     have = metrics(F.col(text_col))
     used = {t.metric: have[t.metric] for t in thresholds}
     compare = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b}
-    measured = df.select(*[c for c in df.columns if c != text_col and not c.startswith("m_")], *[v.alias(f"m_{k}") for k, v in used.items()])
+    rows = spread(df)
+    measured = rows.select(*[c for c in df.columns if c != text_col and not c.startswith("m_")], *[v.alias(f"m_{k}") for k, v in used.items()])
     marks = F.array_compact(F.array(*[F.when(compare[t.compare](F.col(f"m_{t.metric}"), F.lit(t.limit)), F.lit(t.name)) for t in thresholds]))
     return measured.withColumn("marks", marks)
