@@ -101,6 +101,22 @@ def test_workbook_join_and_restore(spark, tmp_path):
     assert sheets["V"][1][:3] == [["1", "a"], ["1", "b"], ["2", "c"]]
 
 
+def test_parquet_in_and_out_and_detokenising(spark, tmp_path):
+    from veilspark import detokenise
+
+    paths = setup(tmp_path, {"tokenization": [{"column": "id"}], "output_path": "out.parquet"})
+    df = spark.createDataFrame([(i, f"v{i % 3}", i % 2) for i in range(9)], "n int, id string, g int")
+    df.write.parquet(str(tmp_path / "in.parquet"))
+    status = run(spark, Paths(paths.config, tmp_path / "in.parquet", paths.output, paths.keys, paths.root))
+    assert status["status"] == "success", status
+    out = spark.read.parquet(str(tmp_path / "output" / "out.parquet"))
+    assert out.columns == ["n", "id", "g"] and out.select("id").distinct().count() == 3 and "run.log" in {f.name for f in (tmp_path / "output").iterdir()}
+    with open(tmp_path / "tokens.csv", "w", newline="") as f:
+        csv.writer(f).writerows([("n", "id"), *((r.n, r.id) for r in out.collect()), ("99", "TK-unknown")])
+    assert detokenise.run(spark, str(tmp_path / "tokens.csv"), str(tmp_path / "values.csv"), str(tmp_path / "keys"), ["id"]) == {"id": 1}
+    assert {r[1] for r in read(tmp_path / "values.csv")[1:]} == {"v0", "v1", "v2", "TK-unknown"}
+
+
 def test_document_runs(spark, tmp_path):
     docs = tmp_path / "docs"
     docs.mkdir()

@@ -58,6 +58,8 @@ def read_input(spark: SparkSession, c: Config, paths: Paths) -> Input:
         file = paths.root / c.staged_input
         if not file.is_file():
             raise RunError("DATA_MISSING", "the staged input does not exist", str(file))
+    elif paths.data.suffix == ".parquet" and paths.data.exists():
+        return Input(tables.read_parquet(spark, f"file://{paths.data.resolve()}"), "parquet")
     elif paths.data.is_file():
         file = paths.data
     elif c.source:
@@ -117,7 +119,10 @@ def publish(df: DataFrame, c: Config, paths: Paths, source: Input) -> dict:
     """The CSV file, the input's own format, the sheets taken apart, the database."""
     path = paths.output / c.output_path
     df = df.persist()
-    sinks.write_csv(df, path)
+    if path.suffix == ".parquet":  # every partition writes its own rows; row order is not kept
+        sinks.write_parquet(df, path)
+    else:
+        sinks.write_csv(df, path)
     out = {"final_output_path": str(path), "sample_generalized_rows": sinks.sample(df), "restored_workbook_path": None, "database_sink": None}
     if c.restore and source.plan:
         book = path.with_name(f"{path.stem}_restored.xlsx")
@@ -222,9 +227,21 @@ def run_documents(spark: SparkSession, c: Config, paths: Paths) -> dict:
     return {"flow": c.documents, "documents": total, "written": written, "failed": total - good, "dry_run": dry, "output_directory": str(folder), "census_path": str(census)}
 
 
+def _remove(path: Path) -> None:
+    """A file or a folder, if it is there."""
+    if path.is_dir():
+        shutil.rmtree(path)
+    else:
+        path.unlink(missing_ok=True)
+
+
 def run(spark: SparkSession, paths: Paths) -> dict:
     """Run and report; ``status.json`` says how it ended, and a failed run leaves no table."""
     paths.output.mkdir(parents=True, exist_ok=True)
+    handler = logging.FileHandler(paths.output / "run.log", mode="w", encoding="utf-8")
+    handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+    log.addHandler(handler)
+    log.setLevel(logging.INFO)
     try:
         c = configuration.load(paths.config)
         for w in c.warnings:
@@ -232,10 +249,14 @@ def run(spark: SparkSession, paths: Paths) -> dict:
         paths.key_folder(c)
         if c.clean:
             for f in paths.output.iterdir():
-                shutil.rmtree(f) if f.is_dir() else f.unlink()
+                if f.name != "run.log":
+                    _remove(f)
         final = paths.output / c.output_path
-        if not c.documents and final.is_file():
-            final.unlink()
+        if not c.documents:
+            _remove(final)
+        stale = sorted(f.name for f in paths.output.iterdir() if f.name not in ("run.log", "status.json"))
+        if stale:
+            log.warning("the output folder holds files of other runs: %s", ", ".join(stale))
         outputs = run_documents(spark, c, paths) if c.documents else run_table(spark, c, paths)
         status = {"status": "ok" if c.documents else "success", "phase": outputs.pop("phase", "done"), "outputs": outputs, "warnings": c.warnings}
     except RunError as e:
@@ -248,9 +269,12 @@ def run(spark: SparkSession, paths: Paths) -> dict:
         status = RunError(code, f"the run failed ({type(e).__name__})").payload()
     if status["status"] == "error":
         try:
-            final.unlink(missing_ok=True)
+            _remove(final)
         except UnboundLocalError:
             pass
+    log.info("ended: %s", status["status"])
+    log.removeHandler(handler)
+    handler.close()
     (paths.output / "status.json").write_text(json.dumps(status, indent=2, default=str))
     return status
 

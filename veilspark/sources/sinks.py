@@ -55,6 +55,11 @@ def write_csv(df: DataFrame, path: str | Path) -> None:
         shutil.rmtree(work, ignore_errors=True)
 
 
+def write_parquet(df: DataFrame, path: str | Path) -> None:
+    """Parquet, written by all tasks at once; the way out for tables that no single file should hold."""
+    df.select(*[f"`{c}`" for c in _columns(df)]).write.mode("overwrite").parquet(f"file://{Path(path).resolve()}")
+
+
 def _texts(df: DataFrame):
     for r in ordered(df).select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in _columns(df)]).toLocalIterator(prefetchPartitions=True):
         yield list(r)
