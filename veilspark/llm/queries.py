@@ -45,14 +45,14 @@ def p4_consistent(spark: SparkSession, d: str) -> DataFrame:
     return same.select("row_id", "Name_same", "Aadhaar_same", "Email_same")
 
 
-def _pii(spark: SparkSession, d: str) -> DataFrame:
-    """Texts with findings of visits and of the claim documents' free-text entries."""
+def _pii(spark: SparkSession, d: str, every: bool = False) -> DataFrame:
+    """Texts with findings (or every text) of visits and of the claim documents' free-text entries."""
     visits = _read(spark, d, "visits")
     model = pii.fit_from(_read(spark, d, "name_lexicon"), visits, "Note")
     notes = visits.select(F.lit("visits").alias("source_table"), F.col("visit_id").alias("record_id"), F.lit(-1).alias("page_pos"), F.lit("Note").alias("leaf_path"), F.col("Note").alias("text"))
     entries = _read(spark, d, "claim_docs").select("claim_no", "doc_json").mapInArrow(pii.claim_texts, "record_id bigint, page_pos int, leaf_path string, text string")
     claims = entries.select(F.lit("claim_docs").alias("source_table"), "record_id", "page_pos", "leaf_path", "text")
-    return pii.find(notes.unionByName(claims), ["source_table", "record_id", "page_pos", "leaf_path"], "text", model)
+    return pii.find(notes.unionByName(claims), ["source_table", "record_id", "page_pos", "leaf_path"], "text", model, every)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,8 +61,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_replaced(spark: SparkSession, d: str) -> DataFrame:
-    """Every text that holds personal information, with typed placeholders in its place."""
-    found = _pii(spark, d)
+    """Every text, with typed placeholders in the place of personal information and all else unchanged."""
+    found = _pii(spark, d, True)
     return found.select("source_table", "record_id", "page_pos", "leaf_path", pii.replace(F.col("text"), F.col("found")).alias("clean_text"))
 
 
