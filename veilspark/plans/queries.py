@@ -4,7 +4,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilspark.functions import mask
@@ -495,17 +495,24 @@ def nested_documents(spark, d):
     return _documents(spark, d).select("file_name", "document")
 
 
+#: Observations of one bundle; a customer with more orders has several bundles.
+_PER_BUNDLE = 5
+
+
 def _bundles(spark, d) -> DataFrame:
-    """One bundle per customer: a patient, and an observation for each of the first orders."""
-    orders = _t(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice").groupBy("o_custkey").agg(F.slice(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))), 1, 5).alias("os"))
+    """Numbered bundles of each customer: the patient, and an observation for each of the next orders. Every order is in one."""
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    orders = _t(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice").withColumn("number", F.floor(place / _PER_BUNDLE) + 1)
+    orders = orders.groupBy("o_custkey", "number").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))).alias("os"))
     c = _t(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
-    c = c.repartition(spark.sparkContext.defaultParallelism, "c_custkey")  # small rows that become costly documents
+    c = c.repartition(spark.sparkContext.defaultParallelism, "c_custkey", "number")  # small rows that become costly documents
     patient = F.struct(F.struct(F.lit("Patient").alias("resourceType"), F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("id"), F.array(F.struct(F.col("c_name").alias("text"))).alias("name"), F.col("c_mktsegment").alias("gender")).alias("resource"))
     seen = lambda o: F.struct(F.struct(F.lit("Observation").alias("resourceType"), F.concat(F.lit("o"), o["o_orderkey"].cast("string")).alias("id"), F.struct(F.lit("Total price").alias("text")).alias("code"), o["o_totalprice"].cast("string").alias("valueString"), F.struct(F.concat(F.lit("Patient/p"), F.col("c_custkey").cast("string")).alias("reference")).alias("subject")).alias("resource"))
     # both kinds of entry as text, since their fields differ
     entries = F.concat(F.array(F.to_json(patient)), F.coalesce(F.transform("os", lambda o: F.to_json(seen(o))), F.array().cast("array<string>")))
     text = F.concat(F.lit('{"resourceType":"Bundle","type":"collection","entry":['), F.array_join(entries, ","), F.lit("]}"))
-    return c.select(F.concat(F.col("c_custkey").cast("string"), F.lit(".json")).alias("file_name"), text.alias("doc"))
+    later = F.when(F.col("number") > 1, F.concat(F.lit("-"), F.col("number").cast("string"))).otherwise("")
+    return c.select(F.concat(F.col("c_custkey").cast("string"), later, F.lit(".json")).alias("file_name"), text.alias("doc"))
 
 
 _FHIR = {"keep": ["Bundle.type", "Patient.gender", "Observation.code.text", "Observation.valueString"], "propagation": {"from": ["Patient.name[].text"]}}
@@ -513,6 +520,15 @@ _FHIR = {"keep": ["Bundle.type", "Patient.gender", "Observation.code.text", "Obs
 
 @query("SELECT c_custkey || '.json' AS file_name, 1 + least(5, count(o_orderkey)) AS entries FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
 def fhir_entries(spark, d):
+    """The first bundle of each customer, as its SQL has it; :func:`fhir_bundles` has all of them."""
+    return fhir_bundles(spark, d).filter(F.col("file_name").rlike(r"^-?\d+\.json$"))
+
+
+@query(
+    """WITH o AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 5 AS n FROM orders)
+    SELECT c_custkey || CASE WHEN n > 0 THEN '-' || (n + 1) ELSE '' END || '.json' AS file_name, 1 + count(o_orderkey) AS entries FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_custkey, n"""
+)
+def fhir_bundles(spark, d):
     done = bundles.anonymise_bundles(_bundles(spark, d), bundles.parse_bundle_policy(_FHIR), KeyFolder())
     entries = F.try_variant_get(F.try_parse_json("document"), "$.entry", "array<variant>")
     return done.select("file_name", F.size(entries).cast("bigint").alias("entries"))
