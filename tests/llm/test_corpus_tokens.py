@@ -44,3 +44,15 @@ def test_empty_table_ids_of_other_types_and_extra_columns(spark):
     assert ct.encode(df.limit(0), "id").count() == 0
     with pytest.raises(ValueError):
         ct.encode(df, "id", chunk=10, overlap=20)
+
+
+def test_long_texts_are_chunked_by_default(spark):
+    rng = random.Random(5)
+    rows = [(str(i), "".join(rng.choice(["word ", "and ", "it's ", "9", "é", ".\n", "ह "]) for _ in range(8000))) for i in range(3)] + [("run", "z" * 20_000)]
+    got = ct.pieces(spark.createDataFrame(rows, "key string, text string"), ct.vocabulary_path()).collect()
+    for key, text in rows:
+        parts = [r.text for r in sorted((r for r in got if r.key == key), key=lambda r: r.k)]
+        assert "".join(parts) == text
+        assert len(parts) == (1 if key == "run" else -(-len(text) // ct.CHUNK)) and (key == "run" or len(parts) > 3)
+    ids = {r.key: list(r.ids) for r in ct.encode(spark.createDataFrame(rows, "key string, text string"), "key").collect()}
+    assert ids == {key: whole(text) for key, text in rows}

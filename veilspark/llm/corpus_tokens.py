@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from veilspark.session import cut, spread
 
-CHUNK, OVERLAP = 65_536, 2_048
+CHUNK, OVERLAP = 4_096, 512
 #: Boundaries this close to the end of a chunk that goes on may depend on what follows.
 MARGIN = 16
 VOCABULARY = "byte_bpe_50k.json"
@@ -102,23 +102,13 @@ def boundaries(path: str, chunk: int, overlap: int):
     return run
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``(id_col, ids)`` for every row of ``df``."""
-    path = path or vocabulary_path()
-    if overlap <= MARGIN or overlap > chunk:
-        raise ValueError("the overlap must exceed the margin and not the chunk")
-    spark = df.sparkSession
-    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
-    kind = rows.schema["id"].dataType.simpleString()
-    is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    short = rows.filter(~is_long).mapInArrow(encoder(path, 1), f"id {kind}, ids array<int>")
-    # equal long rows are encoded once and repeated at the end
-    whole = cut(rows.filter(is_long).groupBy("id", "text").agg(F.count("*").alias("n")).withColumn("key", F.sha2(F.concat_ws(":", F.col("id").cast("string"), "text"), 256)))
+def pieces(whole: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``(key, k, text)``: the parts between the stitches of each (key, text); ids of the parts in order are ids of the text."""
     parts = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
     chunks = whole.select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("k"), parts.alias("parts"), "text").select(
         "key", "k", (F.col("k") == F.col("parts") - 1).alias("is_last"), F.substring(F.col("text"), F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text")
     )
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = int(whole.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seams = chunks.repartition(width, "key", "k").mapInArrow(boundaries(path, chunk, overlap), "key string, k int, head array<bigint>, tail array<bigint>")
     met = F.array_min(F.array_intersect("head", F.lag("tail").over(Window.partitionBy("key").orderBy("k"))))
     # one number per chunk of a document; a seam that does not meet leaves the document in one piece
@@ -132,10 +122,25 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.coalesce("ats", F.array().cast("array<bigint>")))
     placed = whole.join(cuts, "key", "left").select("key", "text", starts.alias("starts"))
     end = lambda s, i: F.coalesce(F.get(s, i + 1), F.length("text").cast("bigint"))
-    pieces = placed.select("key", "text", "starts", F.posexplode("starts").alias("k", "start")).select(
+    return placed.select("key", "text", "starts", F.posexplode("starts").alias("k", "start")).select(
         "key", "k", F.substring(F.col("text"), (F.col("start") + 1).cast("int"), (end(F.col("starts"), F.col("k")) - F.col("start")).cast("int")).alias("text")
     )
-    coded = pieces.repartition(width, "key", "k").mapInArrow(encoder(path, 2), "key string, k int, ids array<int>")
+
+
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``(id_col, ids)`` for every row of ``df``."""
+    path = path or vocabulary_path()
+    if overlap <= MARGIN or overlap > chunk:
+        raise ValueError("the overlap must exceed the margin and not the chunk")
+    spark = df.sparkSession
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
+    kind = rows.schema["id"].dataType.simpleString()
+    is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
+    short = rows.filter(~is_long).mapInArrow(encoder(path, 1), f"id {kind}, ids array<int>")
+    # equal long rows are encoded once and repeated at the end
+    whole = cut(rows.filter(is_long).groupBy("id", "text").agg(F.count("*").alias("n")).withColumn("key", F.sha2(F.concat_ws(":", F.col("id").cast("string"), "text"), 256)))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = pieces(whole, path, chunk, overlap).repartition(width, "key", "k").mapInArrow(encoder(path, 2), "key string, k int, ids array<int>")
     joined = coded.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
     long = whole.select("key", "id", "n").join(joined, "key").select("id", "ids", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).select("id", "ids")
     return short.unionByName(long).select(F.col("id").alias(id_col), "ids")
