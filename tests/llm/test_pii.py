@@ -114,3 +114,22 @@ def test_frames_placeholders_and_documents(spark, model):
 def test_nothing_to_learn_from(spark):
     m = pii.fit([], [])
     assert [k for *_, k in pii.analyse(["Call 9876543210"], m)] == [2]
+
+
+REPEATED = [
+    ("Mobile 98786 09595 noted.", " Query 9878609595 open.", "PHONE"), ("Call +91 98786 09595 now.", " Room 09878609595 asked.", "PHONE"), ("UID 3259 0806 8568 seen.", " Ref 325908068568 again.", "ID"),
+    ("tel:(080) 4687 2726 in use.", " Rang 4687 2726 twice.", "PHONE"), ("Came from 408 Canal Lane, Northgate by bus.", " Parcel left for 408 Canal again.", "ADDRESS"),
+]
+
+
+@pytest.mark.parametrize("clear,doubtful,kind", REPEATED)
+def test_a_clear_mention_decides_a_doubtful_one(model, clear, doubtful, kind):
+    """Only messages over skip edges give the label: alone, or with another number before it, the second mention is off."""
+    assert [k for _, k in found(clear, model)] == [kind] and found(doubtful, model) == []
+    assert [k for _, k in found(clear + doubtful, model)] == [kind] * 2
+    other = clear.translate(str.maketrans("56789", "67896"))
+    assert [k for _, k in found(other + doubtful, model)] == [kind]
+
+
+def test_a_transaction_number_stays_unmarked(model):
+    assert found("9878609595 was rung. Txn 9878609595 settled.", model) == [("9878609595", "PHONE")]

@@ -45,6 +45,15 @@ PLACE_TAIL = "Ext East West North South Layout Nagar Extension Town City Road"
 INSTITUTION = "hospital clinic care centre center nursing home mission memorial district general medical institute college trust sanatorium"
 # Words before a number that is not personal.
 NOT_PERSONAL = "txn transaction lot batch bill invoice form serial receipt mrd ref query claim order model device icd row room page"
+# Of these, words that may also stand before a number that is personal elsewhere in the text.
+DOUBTFUL = "form ref query claim order row room page"
+# Words before a span that speak for its type.
+SPEAKS_FOR = {
+    1: "mail email write cc via id",
+    2: "phone ph tel mobile mob cell call sms whatsapp contact emergency number fax m",
+    3: "aadhaar aadhar uid pan identity proof card vehicle van auto sticker patient",
+    4: "lives stays resides address house from r/o",
+}
 
 _WORD = r"[^\W\d_][\ẁ-ͯऀ-ॣ॰-ॿ]*(?:['’][^\W\d_]+)*"
 TOKEN = re.compile(rf" ?(?:{_WORD}|\d+|[^\w\s])|\s|.", re.S)
@@ -108,6 +117,8 @@ class Model:
 
     #: Weights of the name potentials: letter score, lexicon, context, bias, chain and skip couplings.
     LETTER, LEXICON, CONTEXT, BIAS, CHAIN, SKIP = 0.55, 1.6, 0.9, -2.2, 1.6, 1.2
+    #: Weights of the pattern potentials: coupling of mentions, words before, and a short form by itself.
+    REPEAT, FOR, DOUBT, AGAINST, SHORT = 4.0, 2.0, -4.5, -7.0, -0.5
 
     def __init__(self, lexicon: dict[str, str], letters: np.ndarray, letter_bias: float, common: dict[str, int], context: np.ndarray, context_bias: float, phrases: list[tuple[str, int, int]] = ()):
         #: fixed phrases around a word that is also a name: (word, word before or -1, word after or -1)
@@ -229,13 +240,66 @@ def patterns(text: str) -> list[tuple[int, int, int, float]]:
 
 
 _BEFORE = re.compile(r"([^\W\d_]+)\s*[:#]?\s*(?:no[\s.:]*)?$", re.I)
-_OTHER_NUMBER = frozenset(NOT_PERSONAL.split())
+_OTHER_NUMBER, _DOUBTFUL = frozenset(NOT_PERSONAL.split()), frozenset(DOUBTFUL.split())
+_SPEAKS_FOR = {k: frozenset(words.split()) for k, words in SPEAKS_FOR.items()}
 
 
-def before_weight(text: str, start: int) -> float:
-    """Weight of the word before a number: a bill or transaction number is not personal."""
+def before_weight(text: str, start: int, kind: int) -> float:
+    """Weight of the word before a span: for its type, or against it as before a bill or transaction number."""
     m = _BEFORE.search(text[max(0, start - 30) : start])
-    return -7.0 if m and m.group(1).lower() in _OTHER_NUMBER else 0.0
+    word = m.group(1).lower() if m else ""
+    if word in _SPEAKS_FOR[kind]:
+        return Model.FOR
+    if kind == 1 or word not in _OTHER_NUMBER:
+        return 0.0
+    return Model.DOUBT if word in _DOUBTFUL else Model.AGAINST
+
+
+_DOT = re.compile(r"\s?[(\[]\s?(?:dot|DOT)\s?[)\]]\s?|\s(?:dot|DOT)\s")
+_PLACE = re.compile(rf"(\d+[A-Za-z]?(?:[-/]\d+[A-Za-z]?)?),?\s+(?:(?:near|opp\.?|behind)\s+)?({_CAP})")
+_SHORT_PHONE = re.compile(r"(?<![\w+./,-])\d{3,5}[ -]?\d{3,4}(?![\w]|[-/.]\d)")
+_SHORT_PLACE = re.compile(rf"(?<![\w/.-])\d+[A-Za-z]?(?:[-/]\d+[A-Za-z]?)?,?\s+{_CAP}")
+
+
+def spelling(kind: int, span: str) -> str:
+    """What mentions of one thing have in common however they are written: the blocking key of skip edges."""
+    if kind == 1:
+        span = _DOT.sub(".", _AT.sub("@", span))
+    elif kind == 2:
+        return "".join(c for c in span if c.isdigit())[-10:]
+    elif kind == 4 and (m := _PLACE.search(span)):
+        return f"{m.group(1)} {fold(m.group(2))}".lower()
+    return re.sub(r"[\W_]", "", span).lower()
+
+
+def short_forms(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+    """Short forms of the phone numbers and addresses found in a text: (start, end, type, key of the full form).
+
+    Only where a full form has the same key; any other would be a node without edges that is off.
+    """
+    out = []
+    ends: dict[str, list[str]] = {}
+    for *_, kind, key in spans:
+        if kind == 2:
+            ends.setdefault(key[-6:], []).append(key)
+    places = {key for *_, kind, key in spans if kind == 4}
+    if ends:
+        for m in _SHORT_PHONE.finditer(text):
+            digits = "".join(c for c in m.group() if c.isdigit())
+            full = next((k for k in ends.get(digits[-6:], ()) if k.endswith(digits)), None)
+            if full:
+                out.append((m.start(), m.end(), 2, full))
+    if places:
+        for m in _SHORT_PLACE.finditer(text):
+            if (key := spelling(4, m.group())) in places:
+                out.append((m.start(), m.end(), 4, key))
+    taken = sorted((a, b) for a, b, *_ in spans)
+    free = []
+    for f in sorted(out):
+        i = bisect_right(taken, (f[1], -1)) - 1  # the last span that starts before its end
+        if (i < 0 or taken[i][1] <= f[0]) and (not free or free[-1][1] <= f[0]):
+            free.append(f)
+    return free
 
 
 def propagate(unary: np.ndarray, a: np.ndarray, b: np.ndarray, coupling: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -266,7 +330,18 @@ def analyse(texts: list[str], model: Model, fitting: bool = False):
     whole = "\x00".join(parts) + "\x00"  # no pattern and no name goes over the separator
     flat = patterns(whole)
     owner_of = (np.searchsorted(starts, [f[0] for f in flat], side="right") - 1).tolist()
-    spans = [(s, e, kind, i, u + (before_weight(whole, s) if kind in (2, 3) else 0.0), whole[s:e]) for (s, e, kind, u), i in zip(flat, owner_of)]
+    spans = [(s, e, kind, i, u + before_weight(whole, s, kind), spelling(kind, whole[s:e])) for (s, e, kind, u), i in zip(flat, owner_of)]
+    by_text: dict[int, list] = {}
+    for s, e, kind, i, _, key in spans:
+        if kind in (2, 4):
+            by_text.setdefault(i, [])
+    for s, e, kind, i, _, key in spans:
+        if i in by_text:
+            by_text[i].append((s - int(starts[i]), e - int(starts[i]), kind, key))
+    for i, own in by_text.items():
+        at = int(starts[i])
+        spans += [(at + s, at + e, kind, i, Model.SHORT + min(0.0, before_weight(whole, at + s, kind)), key) for s, e, kind, key in short_forms(parts[i], own)]
+    spans.sort()
     tokens = TOKEN.findall(whole)
     n = model.numbers(tokens)
     kinds, sizes, leads, words, scores, owns = model.arrays
@@ -356,10 +431,10 @@ def analyse(texts: list[str], model: Model, fitting: bool = False):
             skip_a.append(seen[key])
             skip_b.append(i)
         seen[key] = i
-    # pattern spans are nodes too; equal numbers or addresses in one text are joined
-    offset = len(node)
+    # pattern spans are nodes too; mentions of one number or address in one text are joined, more firmly
+    offset, by_name = len(node), len(skip_a)
     for i, s in enumerate(spans):
-        key = (s[3], str(s[2]) + re.sub(r"[\W_]", "", s[5]).lower())
+        key = (s[3], f"{s[2]} {s[5]}")
         if key in seen:
             skip_a.append(seen[key])
             skip_b.append(offset + i)
@@ -367,7 +442,7 @@ def analyse(texts: list[str], model: Model, fitting: bool = False):
     unary = np.concatenate([unary, np.array([s[4] for s in spans], dtype=np.float64)])
     a = np.concatenate([chain_a, np.array(skip_a, np.int64)]).astype(np.int64)
     b = np.concatenate([chain_b, np.array(skip_b, np.int64)]).astype(np.int64)
-    coupling = np.concatenate([np.full(len(chain_a), Model.CHAIN), np.full(len(skip_a), Model.SKIP)])
+    coupling = np.concatenate([np.full(len(chain_a), Model.CHAIN), np.full(by_name, Model.SKIP), np.full(len(skip_a) - by_name, Model.REPEAT)])
     odds = propagate(unary, a, b, coupling)
     out = [(s[3], s[0] - int(starts[s[3]]), s[1] - int(starts[s[3]]), s[2]) for i, s in enumerate(spans) if odds[offset + i] > 0]
     # spans of names: runs of nodes that are on and joined
