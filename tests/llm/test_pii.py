@@ -133,3 +133,11 @@ def test_a_clear_mention_decides_a_doubtful_one(model, clear, doubtful, kind):
 
 def test_a_transaction_number_stays_unmarked(model):
     assert found("9878609595 was rung. Txn 9878609595 settled.", model) == [("9878609595", "PHONE")]
+
+
+def test_every_row_is_kept_when_replacing(spark, model):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "P123456"), (3, "P123456")], "visit_id long, Note string")
+    whole = pii.find(df, ["visit_id"], "Note", model, every=True)
+    got = sorted((r[0], r[1] or "", r[1] is None) for r in whole.select("visit_id", pii.replace(F.col("text"), F.col("found"))).collect())
+    assert got == [(1, "", True), (2, "", False), (3, "[ID]", False), (3, "[ID]", False)]
+    assert list(pii.leaves({"remarks": "", "x": {"remarks": None}})) == [("remarks", "")]

@@ -572,7 +572,7 @@ def leaves(data, path: str = "", key: str = "") -> Iterator[tuple[str, str]]:
     elif isinstance(data, list):
         for i, v in enumerate(data):
             yield from leaves(v, f"{path}[{i}]", key)
-    elif isinstance(data, str) and data and key in FREE_TEXT:
+    elif isinstance(data, str) and key in FREE_TEXT:
         yield path, data
 
 
@@ -607,10 +607,11 @@ def fit_from(lexicon: DataFrame, texts: DataFrame, text_col: str, sample: int =
 
 
 def find(df: DataFrame, columns: list[str], text_col: str, model: Model, every: bool = False) -> DataFrame:
-    """``columns``, the text and ``found`` for every row that holds personal information (or every text)."""
+    """``columns``, the text and ``found`` for every row that holds personal information (or every row, null and empty texts too)."""
     picked = spread(df.select(*columns, F.col(text_col).alias("text")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema) + f", found {FOUND}"
-    return picked.filter(F.col("text").isNotNull() & (F.col("text") != "")).mapInArrow(finder(model, len(columns), every), schema)
+    rows = picked if every else picked.filter(F.col("text").isNotNull() & (F.col("text") != ""))
+    return rows.mapInArrow(finder(model, len(columns), every), schema)
 
 
 def replace(text, found):
