@@ -49,3 +49,14 @@ def test_empty_table_extra_and_clashing_columns(spark):
     out = rp.profile(df)
     assert out.first().m_n_words == 2 and "lang" in out.columns and "text" not in out.columns
     assert rp.profile(df.limit(0)).count() == 0
+
+
+def test_the_query_computes_the_whole_threshold_table(spark, tmp_path):
+    from veilspark.llm import queries
+
+    rows = [(1, "one two three four five six seven eight " * 3), (2, "nothing is said again in this text at all"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.p8_found(spark, str(tmp_path))
+    assert [r.doc_id for r in found.collect()] == [1]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all(t.name in plan for t in rp.THRESHOLDS)

@@ -92,8 +92,8 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    marked = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"), thresholds=[repetition.Threshold("repeated", "repeated_share", ">=", 0.4)])
-    # counting the documents on the way keeps the filter, and with it the costly ratio, above a spread of the input
+    marked = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"))
+    # counting the documents on the way keeps the filter, and with it the costly ratios, above a spread of the input
     return marked.observe("profiled", F.count(F.lit(1)).alias("documents")).filter(F.array_contains("marks", "repeated")).select("doc_id")
 
 
