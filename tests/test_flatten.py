@@ -76,3 +76,11 @@ def test_empty_table_and_merged_schema(spark):
     assert flat.levels == 0 and flat.entries.count() == flat.pages.count() == flat.cases.count() == 0
     some = fl.flatten(spark.createDataFrame([(1, '{"pages":[{"extracted_data":{"a":[1,"x"]}}]}')], "claim_no long, doc_json string"))
     assert {(r.path, r.kind) for r in fl.merged_schema(some.entries).collect()} == {("a[]", "BIGINT"), ("a[]", "STRING")}
+
+
+def test_elements_that_hold_nothing_keep_their_rows(spark):
+    doc = '{"pages": [{"extracted_data": {"a": [1, null, {}, [], {"b": null}, [null, {"c": []}]], "d": [], "e": {}}}]}'
+    flat = fl.flatten(spark.createDataFrame([(1, doc)], "claim_no long, doc_json string"), "claim_no", "doc_json")
+    rows = sorted((r.element_key, r.parent_key, r.ordinal, r.child_table) for r in flat.elements.collect())
+    assert rows == [(f"1/0#a[{i}]", "1/0#", i, "a") for i in range(5)] + [("1/0#a[5]", "1/0#", 5, "a"), ("1/0#a[5][0]", "1/0#a[5]", 0, "a[]"), ("1/0#a[5][1]", "1/0#a[5]", 1, "a[]")]
+    assert [(r.leaf_path, r.leaf_text) for r in flat.entries.collect()] == [("a[0]", "1")]

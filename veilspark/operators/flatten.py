@@ -62,9 +62,11 @@ def _depth(v: Column) -> Column:
 
 
 def _children(e: Column) -> Column:
-    """The children of one node, or the node itself when it is a scalar."""
+    """The children of one node, or the node itself when it is a scalar; an empty array or object stays as a null."""
     node = lambda path, above, v: F.struct(path.alias("path"), above.alias("above"), v.alias("v"))
 
+    empty = F.array(node(e["path"], e["above"], F.parse_json(F.lit("null"))))
+
     def of_array(a: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
             p = F.concat(F.coalesce(e["path"], F.lit("")), F.lit("["), i.cast("string"), F.lit("]"))
@@ -81,7 +83,7 @@ def _children(e: Column) -> Column:
 
     return let(
         F.struct(as_array(e["v"]).alias("a"), as_map(e["v"]).alias("m")),
-        lambda k: F.when(k["a"].isNotNull(), of_array(k["a"])).when(k["m"].isNotNull(), of_map(k["m"])).otherwise(F.array(node(e["path"], e["above"], e["v"]))),
+        lambda k: F.when(F.size(k["a"]) > 0, of_array(k["a"])).when(F.size(k["m"]) > 0, of_map(k["m"])).when(k["a"].isNotNull() | k["m"].isNotNull(), empty).otherwise(F.array(node(e["path"], e["above"], e["v"]))),
     )
 
 
@@ -117,7 +119,7 @@ ABOVE = "array<struct<path:string,ordinal:int,array:string>>"
 
 
 def walk(pages: DataFrame, levels: int) -> DataFrame:
-    """Explode payloads level by level down to the scalars.
+    """Explode payloads level by level down to the scalars, nulls and what is empty.
 
     ``e`` is (path, above, v); ``above`` lists the array elements the scalar lies in.
     """
@@ -142,16 +144,17 @@ def flatten(df: DataFrame, id_col: str = "claim_no", json_col: str = "doc_json")
         "claim_no", "case_id", "page_pos", key.alias("page_key"), num("page", "$.document").alias("document"), num("page", "$.link").alias("link"),
         num("page", "$.page_number").alias("page_number"), num("page", "$.total_pages").alias("total_pages"), F.col("data").isNotNull().alias("has_data"),
     )
-    leaves = walk(pages, levels).filter(~F.is_variant_null(F.col("e.v")))
+    ends = walk(pages, levels)
+    leaves = ends.filter(~F.is_variant_null(F.col("e.v")))
     last = F.try_element_at(F.col("e.above"), F.lit(-1))
     entries = leaves.select(
         "claim_no", "case_id", "page_pos", key.alias("page_key"), F.col("e.path").alias("leaf_path"), F.concat_ws("#", key, F.coalesce(last["path"], F.lit(""))).alias("parent_key"), last["ordinal"].alias("ordinal"),
         F.schema_of_variant("e.v").alias("kind"), F.try_variant_get("e.v", "$", "string").alias("leaf_text"),
     )
-    # every array element that holds a scalar at any depth; one key per element, its parent is the element around it
+    # every array element at any depth, whatever it holds; one key per element, its parent is the element around it
     around = lambda x, i: F.struct(x["path"].alias("path"), x["ordinal"].alias("ordinal"), x["array"].alias("array"), F.when(i > 0, F.col("e.above")[i - 1]["path"]).otherwise("").alias("up"))
     elements = (
-        leaves.select("claim_no", key.alias("page_key"), F.explode(F.transform(F.col("e.above"), around)).alias("x"))
+        ends.select("claim_no", key.alias("page_key"), F.explode(F.transform(F.col("e.above"), around)).alias("x"))
         .distinct()
         .select(
             "claim_no", "page_key", F.concat_ws("#", "page_key", "x.path").alias("element_key"), F.concat_ws("#", "page_key", "x.up").alias("parent_key"), F.col("x.ordinal").alias("ordinal"),
