@@ -65,28 +65,42 @@ def test_forms_of_one_name(model, name):
     assert len(got) == 1 and got[0][0].startswith(name.split('"')[0].strip().split(",")[0])
 
 
+NONE = np.array([], np.int64)
+PAIRS = pii.couplings(pii.PRIOR)
+
+
 def test_skip_edges_carry_evidence():
     """A doubtful mention is lifted by a sure one of the same spelling."""
-    unary = np.array([4.0, -0.8])
-    none = np.array([], np.int64)
-    assert (pii.propagate(unary, none, none, np.array([])) > 0).tolist() == [True, False]
-    assert (pii.propagate(unary, np.array([0]), np.array([1]), np.array([pii.Model.SKIP])) > 0).all()
+    unary = np.full((2, 6), pii.NEVER)
+    unary[:, 0], unary[:, pii.NAME] = 0, [4.0, -0.8]
+    assert pii.propagate(unary, NONE, NONE, NONE, PAIRS).argmax(1).tolist() == [pii.NAME, pii.O]
+    assert pii.propagate(unary, np.array([0]), np.array([1]), np.array([1]), PAIRS).argmax(1).tolist() == [pii.NAME] * 2
 
 
 def test_messages_are_exact_on_trees():
     rng = np.random.default_rng(0)
-    for _ in range(10):
-        n = 6
-        unary, a = rng.normal(0, 2, n), np.array([rng.integers(0, i) for i in range(1, n)])
-        b, j = np.arange(1, n), rng.uniform(0, 2, n - 1)
-        got = pii.propagate(unary, a, b, j, rounds=10)
-        on, off = np.zeros(n), np.zeros(n)
-        for y in product((0, 1), repeat=n):
+    for _ in range(5):
+        n, k = 5, 4
+        unary, a = rng.normal(0, 2, (n, k)), np.array([rng.integers(0, i) for i in range(1, n)])
+        unary[:, 0] = 0
+        b, kind, pairs = np.arange(1, n), rng.integers(0, 2, n - 1), rng.normal(0, 1, (2, k, k))
+        got = pii.propagate(unary, a, b, kind, pairs)
+        mass = np.zeros((n, k))
+        for y in product(range(k), repeat=n):
             y = np.array(y)
-            w = math.exp(float((unary * y).sum() + (j * (y[a] == y[b])).sum()))
-            on += w * y
-            off += w * (1 - y)
-        assert np.allclose(got, np.log(on / off), atol=1e-6)
+            mass[np.arange(n), y] += math.exp(float(unary[np.arange(n), y].sum() + pairs[kind, y[a], y[b]].sum()))
+        assert np.allclose(got - got[:, :1], np.log(mass / mass[:, :1]), atol=1e-3)
+
+
+def test_messages_settle_on_loops():
+    """A ring and a long chain of doubtful nodes around one sure node."""
+    n = 400
+    unary = np.full((n, 6), pii.NEVER)
+    unary[:, 0], unary[:, pii.NAME] = 0, -0.1
+    unary[0, pii.NAME] = 6
+    a = np.arange(n)
+    y = pii.propagate(unary, a, (a + 1) % n, np.full(n, 3), PAIRS).argmax(1)
+    assert (y[:5] == pii.NAME).all() and (y[-5:] == pii.NAME).all() and y[n // 2] == pii.O
 
 
 def test_batches_do_not_mix_texts(model):
@@ -141,3 +155,50 @@ def test_every_row_is_kept_when_replacing(spark, model):
     got = sorted((r[0], r[1] or "", r[1] is None) for r in whole.select("visit_id", pii.replace(F.col("text"), F.col("found"))).collect())
     assert got == [(1, "", True), (2, "", False), (3, "[ID]", False), (3, "[ID]", False)]
     assert list(pii.leaves({"remarks": "", "x": {"remarks": None}})) == [("remarks", "")]
+
+
+def test_nothing_is_cut_short(model):
+    """Local parts, distances and names of streets of any length."""
+    local = "a" * 300
+    assert found(f"Mail {local}@x.example.org now", model) == [(f"{local}@x.example.org", "EMAIL")]
+    street = "12 Kelmoor New Upper East Side Old Mill Road, Northgate"
+    assert found(f"Came from {street} by bus.", model) == [(street, "ADDRESS")]
+    assert found("Txn" + " " * 200 + "03609136091 settled.", model) == []
+    deep = '{"pages": [{"extracted_data": ' + '{"a": [' * 20_000 + '{"remarks": "x"}' + "]}" * 20_000 + "}]}"
+    assert [t for _, t in pii.leaves(pii.loads(deep)["pages"][0])] == ["x"]
+
+
+@pytest.mark.parametrize("number", ["+1 415 555 2671", "+44 20 7946 0958", "+971-50-1234567"])
+def test_numbers_of_other_countries(model, number):
+    assert found(f"Call {number} now.", model) == [(number, "PHONE")]
+
+
+def test_context_and_messages_choose_the_type(model):
+    """Twelve digits may be a phone number or an identity number; what is said of one mention holds for all."""
+    assert found("Call 919876543210 now.", model) == [("919876543210", "PHONE")]
+    assert found("Aadhaar 919876543210 seen.", model) == [("919876543210", "ID")]
+    assert found("It reads 919876543210 there.", model) == [("919876543210", "ID")]
+    assert [k for _, k in found("Call +91 98765 43210. It reads 919876543210 there.", model)] == ["PHONE", "PHONE"]
+
+
+def test_weights_are_fitted_and_stay_near_their_prior(model):
+    moved = np.abs(model.weights - pii.PRIOR)
+    assert moved.max() > 0.01 and moved.max() < 3 and np.isfinite(model.weights).all()
+    assert model.weights[pii.PLACE["lexicon"]] == pii.PRIOR[pii.PLACE["lexicon"]]
+
+
+def test_a_name_that_differs_by_one_letter_is_linked(model):
+    f = pii.field_of(["Seen by Dr Zoritha Rindoja. zorita was anxious."], model)
+    assert 2 in f.edge.tolist() or len(f.node) < 3
+    g = pii.field_of(["Zoritha Rindoja agrees. Mail zoritha.rindoja@x.example.org now"], model)
+    assert g.edge.tolist().count(4) == 2
+
+
+def test_the_sample_is_bounded_and_drawn_by_hash(spark):
+    df = spark.range(20_000).selectExpr("id", "concat('t', id) AS text")
+    got = pii.drawn(df, "id", 500).collect()
+    assert 400 <= len(got) <= 500 and max(r.id for r in got) > 15_000
+    assert pii.drawn(df.limit(0), "id", 500).collect() == []
+    assert pii.drawn(df.limit(30), "id", 500).count() == 30
+    with pytest.raises(ValueError):
+        pii.fit_from(spark.range(pii.MAX_LEXICON + 1).selectExpr("string(id) AS name_part", "'given' AS name_kind"), df, "id", "text")

@@ -48,7 +48,7 @@ def p4_consistent(spark: SparkSession, d: str) -> DataFrame:
 def _pii(spark: SparkSession, d: str, every: bool = False) -> DataFrame:
     """Texts with findings (or every text) of visits and of the claim documents' free-text entries."""
     visits = _read(spark, d, "visits")
-    model = pii.fit_from(_read(spark, d, "name_lexicon"), visits, "Note")
+    model = pii.fit_from(_read(spark, d, "name_lexicon"), visits, "visit_id", "Note", _read(spark, d, "claim_docs").select("claim_no", "doc_json"))
     notes = visits.select(F.lit("visits").alias("source_table"), F.col("visit_id").alias("record_id"), F.lit(-1).alias("page_pos"), F.lit("Note").alias("leaf_path"), F.col("Note").alias("text"))
     entries = _read(spark, d, "claim_docs").select("claim_no", "doc_json").mapInArrow(pii.claim_texts, "record_id bigint, page_pos int, leaf_path string, text string")
     claims = entries.select(F.lit("claim_docs").alias("source_table"), "record_id", "page_pos", "leaf_path", "text")
