@@ -49,10 +49,20 @@ def test_empty_table_ids_of_other_types_and_extra_columns(spark):
 def test_long_texts_are_chunked_by_default(spark):
     rng = random.Random(5)
     rows = [(str(i), "".join(rng.choice(["word ", "and ", "it's ", "9", "é", ".\n", "ह "]) for _ in range(8000))) for i in range(3)] + [("run", "z" * 20_000)]
-    got = ct.pieces(spark.createDataFrame(rows, "key string, text string"), ct.vocabulary_path()).collect()
+    got = ct.pieces(spark.createDataFrame(rows, "key string, text string")).collect()
     for key, text in rows:
         parts = [r.text for r in sorted((r for r in got if r.key == key), key=lambda r: r.k)]
         assert "".join(parts) == text
         assert len(parts) == (1 if key == "run" else -(-len(text) // ct.CHUNK)) and (key == "run" or len(parts) > 3)
     ids = {r.key: list(r.ids) for r in ct.encode(spark.createDataFrame(rows, "key string, text string"), "key").collect()}
     assert ids == {key: whole(text) for key, text in rows}
+
+
+def test_pattern_ends_where_the_tokenizer_does():
+    """Every character of the basic plane: the places where chunks may be stitched, and the ids."""
+    text = "".join(f"a{chr(i)}b {chr(i)}{chr(i)} 1" for i in range(1, 0xFFFF) if not 0xD800 <= i < 0xE000)
+    at = {m.start() for m in ct.pre_tokens().finditer(text)}
+    want = {a for _, (a, _) in T.pre_tokenizer.pre_tokenize_str(text)}
+    safe = {i for i in range(1, len(text)) if text[i] in ct.SAFE and not text[i - 1].isspace()}
+    assert safe <= at and safe <= want
+    assert ct.ids_of(ct.vocabulary_path(ct.RANKS), text) == whole(text)

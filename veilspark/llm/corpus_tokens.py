@@ -3,8 +3,8 @@
 Texts up to ``chunk`` code points are encoded where they are read. Longer texts are
 cut into overlapping chunks that are pre-tokenised in parallel; two neighbouring
 chunks are stitched at the first place in their overlap where both have a pre-token
-boundary after a non-space character. From such a place on both go on alike, since
-the pattern never looks back. The pieces between the stitches are encoded in
+boundary between a non-space character and a space. From such a place on both go on
+alike, since the pattern never looks back. The pieces between the stitches are encoded in
 parallel and their ids put in order. A text with a seam where the chunks do not meet
 (a run longer than the overlap) is encoded whole.
 
@@ -14,8 +14,10 @@ table gives an empty result; other columns are dropped.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -26,7 +28,14 @@ from veilspark.session import cut, spread
 CHUNK, OVERLAP = 4_096, 512
 #: Boundaries this close to the end of a chunk that goes on may depend on what follows.
 MARGIN = 16
-VOCABULARY = "byte_bpe_50k.json"
+#: Chunks are stitched before one of these: there a pre-token ends whatever version of Unicode the letters are of.
+SAFE = " \n\t\r"
+#: The vocabulary as ranks, and as a file of the ``tokenizers`` library; their ids are the same.
+RANKS, VOCABULARY = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
+# Fixed value: the pre-token pattern of the vocabulary.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The encoder's pattern engine cannot take runs of white space far above this; such texts are pre-tokenised outside it.
+LONG_RUN = 10_000
 
 
 def vocabulary_path(name: str = VOCABULARY, folder: str | None = None) -> str:
@@ -40,7 +49,7 @@ def vocabulary_path(name: str = VOCABULARY, folder: str | None = None) -> str:
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
-    """The tokenizer of a worker, loaded once per process."""
+    """The vocabulary in the ``tokenizers`` library, which tests compare with."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,6 +60,38 @@ def tokenizer(path: str):
     return t
 
 
+@lru_cache(maxsize=4)
+def ranks(path: str) -> dict[bytes, int]:
+    """The tokens of a rank file, each the bytes it stands for."""
+    import base64
+
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
+@lru_cache(maxsize=4)
+def encoding(path: str):
+    """The encoder of a worker, made once per process."""
+    import tiktoken
+
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens={})
+
+
+@lru_cache(maxsize=1)
+def pre_tokens():
+    import regex
+
+    return regex.compile(PATTERN)
+
+
+def ids_of(path: str, text: str) -> list[int]:
+    """The ids of one text, without special tokens."""
+    e = encoding(path)
+    if len(text) > LONG_RUN and re.search(rf"\s{{{LONG_RUN}}}", text):
+        return [i for m in pre_tokens().finditer(text) for i in e._encode_single_piece(m.group())]
+    return e.encode_ordinary(text)
+
+
 def _lists(rows: list, kind: pa.DataType) -> pa.Array:
     return pa.array(rows, type=pa.list_(kind))
 
@@ -71,29 +112,27 @@ def encoder(path: str, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        t = tokenizer(path)
         for whole in batches:
             for b in _slices(whole):
-                texts = [x or "" for x in b.column(keep).to_pylist()]
-                ids = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+                ids = [ids_of(path, x) if x else [] for x in b.column(keep).to_pylist()]
                 offsets = np.zeros(len(ids) + 1, dtype=np.int32)
                 np.cumsum([len(x) for x in ids], out=offsets[1:])
-                flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(offsets[-1]))
+                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(offsets[-1]))
                 yield pa.RecordBatch.from_arrays([*b.columns[:keep], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[*b.schema.names[:keep], "ids"])
 
     return run
 
 
-def boundaries(path: str, chunk: int, overlap: int):
+def boundaries(chunk: int, overlap: int):
     """Pre-token boundaries of each chunk in the overlaps at its two ends, as places in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = tokenizer(path).pre_tokenizer
+        find = pre_tokens().finditer
         for b in batches:
             heads, tails = [], []
             for k, last, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 stop = len(text) if last else len(text) - MARGIN
-                cuts = [a for _, (a, _) in pre.pre_tokenize_str(text) if 0 < a < stop and not text[a - 1].isspace()]
+                cuts = [a for m in find(text) if 0 < (a := m.start()) < stop and (a < overlap or a >= chunk) and text[a] in SAFE and not text[a - 1].isspace()]
                 base = k * chunk
                 heads.append([base + a for a in cuts if a < overlap] if k else [])
                 tails.append([base + a for a in cuts if a >= chunk])
@@ -102,14 +141,15 @@ def boundaries(path: str, chunk: int, overlap: int):
     return run
 
 
-def pieces(whole: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def pieces(whole: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``(key, k, text)``: the parts between the stitches of each (key, text); ids of the parts in order are ids of the text."""
     parts = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
     chunks = whole.select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("k"), parts.alias("parts"), "text").select(
         "key", "k", (F.col("k") == F.col("parts") - 1).alias("is_last"), F.substring(F.col("text"), F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text")
     )
     width = int(whole.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seams = chunks.repartition(width, "key", "k").mapInArrow(boundaries(path, chunk, overlap), "key string, k int, head array<bigint>, tail array<bigint>")
+    kind = whole.schema["key"].dataType.simpleString()
+    seams = chunks.repartition(width, "key", "k").mapInArrow(boundaries(chunk, overlap), f"key {kind}, k int, head array<bigint>, tail array<bigint>")
     met = F.array_min(F.array_intersect("head", F.lag("tail").over(Window.partitionBy("key").orderBy("k"))))
     # one number per chunk of a document; a seam that does not meet leaves the document in one piece
     cuts = (
@@ -129,7 +169,7 @@ def pieces(whole: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERL
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``(id_col, ids)`` for every row of ``df``."""
-    path = path or vocabulary_path()
+    path = path or vocabulary_path(RANKS)
     if overlap <= MARGIN or overlap > chunk:
         raise ValueError("the overlap must exceed the margin and not the chunk")
     spark = df.sparkSession
@@ -137,12 +177,12 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     kind = rows.schema["id"].dataType.simpleString()
     is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     short = rows.filter(~is_long).mapInArrow(encoder(path, 1), f"id {kind}, ids array<int>")
-    # equal long rows are encoded once and repeated at the end
-    whole = cut(rows.filter(is_long).groupBy("id", "text").agg(F.count("*").alias("n")).withColumn("key", F.sha2(F.concat_ws(":", F.col("id").cast("string"), "text"), 256)))
+    # written once with a number for each row, so that only numbers are keys of what follows
+    whole = cut(rows.filter(is_long).withColumn("key", F.monotonically_increasing_id()))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded = pieces(whole, path, chunk, overlap).repartition(width, "key", "k").mapInArrow(encoder(path, 2), "key string, k int, ids array<int>")
+    coded = pieces(whole, chunk, overlap).repartition(width, "key", "k").mapInArrow(encoder(path, 2), "key bigint, k int, ids array<int>")
     joined = coded.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
-    long = whole.select("key", "id", "n").join(joined, "key").select("id", "ids", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).select("id", "ids")
+    long = whole.select("key", "id").join(joined, "key").select("id", "ids")
     return short.unionByName(long).select(F.col("id").alias(id_col), "ids")
 
 
@@ -150,19 +190,9 @@ def decoder(path: str):
     """A ``mapInArrow`` function: id and the text of a list of ids, by joining the tokens' bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizer(path)
-        # byte-level vocabularies write each byte as a printable character
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        back = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-        raw: dict[int, bytes] = {}
-
-        def of(i: int) -> bytes:
-            if i not in raw:
-                raw[i] = bytes(back[c] for c in t.id_to_token(i))
-            return raw[i]
-
+        token = {i: t for t, i in ranks(path).items()}
         for b in batches:
-            texts = [b"".join(map(of, x or [])).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            texts = [b"".join(map(token.__getitem__, x or [])).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     return run
@@ -171,4 +201,4 @@ def decoder(path: str):
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
     """``(id_col, text)``: the inverse of :func:`encode` (null comes back as empty)."""
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(decoder(path or vocabulary_path()), f"id {kind}, text string").select(F.col("id").alias(id_col), "text")
+    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(decoder(path or vocabulary_path(RANKS)), f"id {kind}, text string").select(F.col("id").alias(id_col), "text")
