@@ -50,3 +50,9 @@ def nfc(c: Column) -> Column:
 def nfkc(c: Column) -> Column:
     """Unicode NFKC (compatibility forms folded); ASCII is passed through."""
     return F.when(F.regexp_like(c, F.lit(r"[^\x{0}-\x{7F}]")), _compose(c, True)).otherwise(c)
+
+
+def nfkd(c: Column) -> Column:
+    """Unicode NFKD (compatibility forms folded, accents apart); ASCII is passed through."""
+    apart = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), c, F.lit(True))
+    return F.when(F.regexp_like(c, F.lit(r"[^\x{0}-\x{7F}]")), apart).otherwise(c)
