@@ -2,6 +2,7 @@
 import unicodedata
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from veilspark.llm import term_counts as tc
@@ -61,3 +62,33 @@ def test_verdicts_and_clashing_columns(spark):
     assert ("often", "common") in v and ("often", "rare") not in v and ("twice", "rare") in v and len(v) == 32
     both = tc.verdicts(tc.summed(tc.terms_of(frame(spark, rows[:1]), {"d": None}))).collect()
     assert {r.verdict for r in both} == {"rare", "common"}
+
+
+def test_debts_zeros_and_order_of_updates(spark):
+    """Signed deltas commute; what comes to nothing is not kept, a lone deletion is not shown."""
+    df = frame(spark, ROWS)
+    store = tc.TermStore(spark, buckets=2).apply(tc.terms_of(df, COLUMNS, -1))
+    assert store.counts().count() == 0
+    store.apply(tc.terms_of(df, COLUMNS)).apply(tc.terms_of(df, COLUMNS))
+    assert counted(store.counts()) == brute(ROWS)
+    first = tc.TermStore(spark).apply(tc.terms_of(df, COLUMNS).unionByName(tc.terms_of(df, COLUMNS, -1)))
+    assert first.counts().count() == 0 and first.manifest["at"] == {}
+
+
+def test_buckets_belong_to_the_store_and_grow(spark):
+    rows = [(i, f"t{i % 50}", "g") for i in range(200)]
+    store = tc.TermStore(spark, buckets=2, bucket_rows=10).apply(tc.terms_of(frame(spark, rows), COLUMNS))
+    again = tc.TermStore(spark, store.path, buckets=32, bucket_rows=10)
+    assert again.buckets == 2 and sum(again.manifest["rows"].values()) == 51
+    again.apply(tc.terms_of(frame(spark, rows[:1]), COLUMNS))
+    assert again.buckets == 8 and counted(again.counts()) == {**brute(rows), ("d", "t0"): (5, 5), ("g", "g"): (201, 201)}
+    assert counted(tc.TermStore(spark, store.path).counts()) == counted(again.counts())
+
+
+def test_a_second_writer_of_an_update_fails_and_loses_nothing(spark):
+    one = tc.TermStore(spark).apply(tc.terms_of(frame(spark, ROWS), COLUMNS))
+    two = tc.TermStore(spark, one.path)
+    one.apply(tc.terms_of(frame(spark, ROWS[:2]), COLUMNS))
+    with pytest.raises(RuntimeError):
+        two.apply(tc.terms_of(frame(spark, ROWS[:3]), COLUMNS))
+    assert counted(tc.TermStore(spark, one.path).counts()) == brute([*ROWS, *ROWS[:2]])

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.functions.text import let, nfc, trim_unicode
-from veilspark.session import shared_dir
+from veilspark.session import cut, shared_dir
 
 COUNTS = "column_name string, term_text string, occurrences long, records long"
 
@@ -61,60 +61,88 @@ def summed(terms: DataFrame) -> DataFrame:
     return terms.groupBy("column_name", "term_text").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 
+#: Rows of a bucket on average, beyond which a store is divided into more buckets.
+BUCKET_ROWS = 1_000_000
+
+
 class TermStore:
-    """Persistent counts in ``path``: one folder per update and bucket, and a manifest of the current ones."""
+    """Persistent counts in ``path``: one folder per update, in it one per bucket, and a manifest per update.
+
+    A manifest names the folder of every bucket, their number and their rows. It is
+    written beside its place and moved there, so a reader sees an update whole or not at
+    all, a crash leaves the state before, and of two writers of one update the second
+    fails. Buckets grow with the data: beyond ``bucket_rows`` rows each, the next update
+    divides all of them. Each is written by many tasks.
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16):
-        self.spark, self.buckets = spark, buckets
+    Updates commute: a deletion that comes before its addition is kept as a debt, which
+    :meth:`counts` does not show; what comes to nothing is dropped.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.bucket_rows = spark, bucket_rows
         self.path = path or f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        self._file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest.json")
-        self._fs = self._file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self.manifest: dict[str, int] = {}
-        if self._fs.exists(self._file):
-            stream = self._fs.open(self._file)
-            self.manifest = json.loads(bytes(stream.readAllBytes()).decode())
-            stream.close()
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.manifest: dict = {"update": 0, "buckets": buckets, "at": {}, "rows": {}}
+        if self._fs.exists(self._at("")):
+            names = [s.getPath().getName() for s in self._fs.listStatus(self._at(""))]
+            if updates := [int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json")]:
+                stream = self._fs.open(self._at(f"manifest-{max(updates)}.json"))
+                self.manifest = json.loads(bytes(stream.readAllBytes()).decode())
+                stream.close()
+
+    @property
+    def buckets(self) -> int:
+        return self.manifest["buckets"]
+
+    def _at(self, name: str):
+        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
 
     def _read(self, buckets: list[str]) -> DataFrame:
-        at = [f"{self.path}/update={self.manifest[b]}/bucket={b}" for b in buckets if self.manifest.get(b) is not None]
+        at = [f"{self.path}/{self.manifest['at'][b]}/bucket={b}" for b in buckets if b in self.manifest["at"]]
         if not at:
             return self.spark.createDataFrame([], COUNTS)
         return self.spark.read.schema(COUNTS).parquet(*at)
 
     def counts(self) -> DataFrame:
         """The current counts of every term."""
-        return self._read(sorted(self.manifest, key=int))
+        return self._read(sorted(self.manifest["at"], key=int)).filter("occurrences > 0")
 
     def apply(self, terms: DataFrame) -> TermStore:
         """Merge signed terms of changed records; only touched buckets are read and rewritten."""
-        update = max(self.manifest.values(), default=0) + 1
-        bucket = F.pmod(F.xxhash64("column_name", "term_text"), F.lit(self.buckets)).cast("int")
+        update, rows = self.manifest["update"] + 1, sum(self.manifest["rows"].values())
+        buckets = self.buckets
+        while rows > buckets * self.bucket_rows:
+            buckets *= 2
+        bucket = F.pmod(F.xxhash64("column_name", "term_text"), F.lit(buckets)).cast("int")
         delta = summed(terms)
-        if self.manifest:
+        if buckets != self.buckets or not self.manifest["at"]:
+            merged = summed(delta.unionByName(self._read(list(self.manifest["at"]))))
+            touched = [str(b) for b in range(buckets)]
+        else:
             # only buckets holding a changed term are merged; their numbers are at most ``buckets``
-            delta = delta.withColumn("bucket", bucket)
-            from veilspark.session import cut
-
-            delta = cut(delta)
+            delta = cut(delta.withColumn("bucket", bucket))
             touched = [str(r[0]) for r in delta.select("bucket").distinct().collect()]
-            merged = summed(delta.drop("bucket").unionByName(self._read(touched))).filter((F.col("occurrences") != 0) | (F.col("records") != 0))
-        else:
-            touched = [str(b) for b in range(self.buckets)]
-            merged = delta
-        out = f"{self.path}/update={update}"
-        merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-        there = {s.getPath().getName().partition("=")[2] for s in self._fs.listStatus(self._file.getParent().suffix(f"/update={update}")) if s.isDirectory()}
-        for b in touched:
-            if b in there:
-                self.manifest[b] = update
-            else:
-                self.manifest.pop(b, None)
-        stream = self._fs.create(self._file, True)
-        stream.write(bytearray(json.dumps(self.manifest).encode()))
-        stream.close()
+            merged = summed(delta.drop("bucket").unionByName(self._read(touched)))
+        folder = f"update-{update}-{uuid.uuid4().hex[:8]}"
+        kept = merged.filter((F.col("occurrences") != 0) | (F.col("records") != 0)).withColumn("bucket", bucket)
+        kept.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        there = {s.getPath().getName().partition("=")[2] for s in self._fs.listStatus(self._at(folder)) if s.isDirectory()}
+        at = {b: f for b, f in self.manifest["at"].items() if b not in touched} | {b: folder for b in touched if b in there}
+        # one number per bucket
+        found = dict(self.spark.read.parquet(f"{self.path}/{folder}").groupBy(F.col("bucket").cast("string")).count().collect()) if there else {}
+        self._publish({"update": update, "buckets": buckets, "at": at, "rows": {b: found[b] if b in found else self.manifest["rows"][b] for b in at}})
         return self
 
+    def _publish(self, manifest: dict) -> None:
+        final, draft = self._at(f"manifest-{manifest['update']}.json"), self._at(f".draft-{uuid.uuid4().hex}")
+        stream = self._fs.create(draft, False)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
+            raise RuntimeError(f"update {manifest['update']} of {self.path} was made by another writer")
+        self.manifest = manifest
+
 
 def verdicts(counts: DataFrame, rare_records: int = 3, common_share: float = 0.1) -> DataFrame:
     """``(column_name, term_text, verdict, occurrences, records)``: one row per verdict of a term."""
