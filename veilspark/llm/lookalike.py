@@ -1,11 +1,11 @@
 """Bring text that looks the same to one form.
 
 Every distinct value is mapped: compatibility forms folded (NFKC), invisible
-characters dropped, white space of any kind and number made one space and trimmed,
-look-alike letters and hyphens of other scripts replaced. The mapped values are
-grouped in SQL under the accent- and case-sensitive ``UNICODE`` collation, which also
+characters dropped, look-alike letters and hyphens of other scripts replaced while
+accents stand apart from their letters and put together again, white space of any kind
+and number made one space and trimmed. The mapped values are grouped in SQL under the accent- and case-sensitive ``UNICODE`` collation, which also
 holds composed and decomposed accents equal; each class gets one canonical member
-(most frequent, then fewest code points above ASCII, then smallest), joined back.
+(fewest code points above ASCII, then smallest), joined back.
 
 Defined results: null and values that show nothing have no class and stay null in the
 ``_same`` column; repeated rows and ties get one deterministic member; an empty table
@@ -18,18 +18,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.functions.text import INVISIBLE, WS, nfc, nfkc
+from veilspark.functions.text import INVISIBLE, WS, nfc, nfkd
 
 # Letters of other scripts that have the shape of a Latin letter, and hyphens.
 LOOKALIKES = {
-    # Greek capitals and small omicron
+    # Greek capitals and small letters
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "Ϲ": "C", "ϲ": "c", "Ϳ": "J", "ϳ": "j",
+    "α": "a", "ι": "i", "κ": "k", "ν": "v", "ρ": "p", "υ": "u",
     # Cyrillic capitals
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "У": "Y", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Ӏ": "I",
     # Cyrillic small letters
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ү": "y",
     # Latin and Armenian letters of the same shape
     "ɡ": "g", "ɑ": "a", "օ": "o", "Օ": "O", "ս": "u", "ց": "g", "հ": "h", "Տ": "S", "Լ": "L",
+    "ı": "i", "ɩ": "i", "ʋ": "u",
+    # Cherokee capitals
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮢ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮤ": "W", "Ꮓ": "Z",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
     # hyphens
     "‐": "-", "‑": "-", "‒": "-", "⁃": "-", "−": "-", "˗": "-",
 }
@@ -37,8 +43,8 @@ LOOKALIKES = {
 
 def mapped(c: Column) -> Column:
     """The look-alike-mapped form of a text; ASCII text is only cleaned of its spaces."""
-    shown = F.regexp_replace(nfkc(c), f"[{INVISIBLE}]+", "")
-    # composed Cyrillic or Greek letters may hide a look-alike base: decomposing is left to the collation
+    shown = F.regexp_replace(nfkd(c), f"[{INVISIBLE}]+", "")
+    # a composed letter may hide a look-alike base: swap with the accents apart, compose again
     swapped = F.translate(shown, "".join(LOOKALIKES), "".join(LOOKALIKES.values()))
     spaced = F.trim(F.regexp_replace(swapped, f"[{WS}]+", " "))
     plain = F.trim(F.regexp_replace(c, "[\t-\r ]+", " "))
@@ -48,13 +54,13 @@ def mapped(c: Column) -> Column:
 def classes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, value, same, members)``: each distinct value with its class's canonical member."""
     cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns])).alias("c")).select("c.*")
-    values = cells.filter(F.col("value").isNotNull() & (F.col("value") != "")).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    values = cells.filter(F.col("value").isNotNull() & (F.col("value") != "")).select("column_name", "value").distinct()
     keyed = values.select("*", mapped(F.col("value")).alias("look")).filter(F.col("look") != "")
     return keyed.sparkSession.sql(
         """
         WITH canon AS (
           SELECT column_name, collate(look, 'UNICODE') AS k, count(*) AS members,
-                 min_by(value, struct(-n, length(regexp_replace(value, '[ -~]', '')), value)) AS same
+                 min_by(value, struct(length(regexp_replace(value, '[ -~]', '')), value)) AS same
           FROM {keyed} GROUP BY column_name, collate(look, 'UNICODE'))
         SELECT v.column_name, v.value, c.same, c.members
         FROM {keyed} v JOIN canon c ON v.column_name = c.column_name AND collate(v.look, 'UNICODE') = c.k
