@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from veilspark.session import cut
 
 DIMENSIONS, BITS, BUCKETS = 6, 5, 256
-BLOCK = 4096
+#: Neighbours on the curve that are packed together: some containers' worth, whatever the size of the table.
+BLOCK = 512
 #: A container at least this full is closed at the end of a block.
 TIGHT = 0.985
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilspark.functions.text import INVISIBLE
 from veilspark.llm import corpus_tokens, lookalike, packing, pii, repetition, term_counts
 
 _COLUMNS = {"patients": {"Age": None, "Pincode": None, "Gender": None}, "visits": {"Diagnosis": ";"}}
@@ -35,6 +36,24 @@ def p3_counts(spark: SparkSession, d: str) -> DataFrame:
     return store.counts().select("column_name", "term_text", "occurrences", "records")
 
 
+def p3_updated(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of the present tables, reached from an earlier state by the records added, changed and deleted since.
+
+    Earlier, the rows loaded before a date had other values, and every patient was there
+    twice: the second rows are deleted.
+    """
+    early = F.col("loaded_at") < F.lit("2025-07-01").cast("timestamp")
+    patients, visits = _read(spark, d, "patients"), _read(spark, d, "visits")
+    p = patients.select("row_id", *_COLUMNS["patients"])
+    before = patients.filter(early).withColumn("Gender", F.concat(F.lit("was "), "Gender")).select(p.columns)
+    before = before.unionByName(p.withColumn("row_id", -F.col("row_id") - 1))
+    v = visits.select("visit_id", "Diagnosis")
+    old = visits.filter(early).select("visit_id", F.concat_ws(";", "Diagnosis", "hospital_id").alias("Diagnosis"))
+    store = term_counts.TermStore(spark).apply(term_counts.terms_of(before, _COLUMNS["patients"]).unionByName(term_counts.terms_of(old, _COLUMNS["visits"])))
+    changed = [term_counts.terms_of(term_counts.changes(a, b, k, list(c)), c, F.col("sign")) for a, b, k, c in ((before, p, "row_id", _COLUMNS["patients"]), (old, v, "visit_id", _COLUMNS["visits"]))]
+    return store.apply(changed[0].unionByName(changed[1])).counts().select("column_name", "term_text", "occurrences", "records")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.same_looking_pairs(_read(spark, d, "patients"), "row_id", ["Name", "Aadhaar", "Email"])
 
@@ -84,6 +103,18 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(packing.sizes(p6_ids(spark, d)), _capacities(spark, d))
 
 
+def p7_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must not be: containers over the brim, documents lost or split without need, tokens lost; and the documents packed."""
+    sized = packing.sizes(p6_ids(spark, d))
+    caps = _capacities(spark, d)
+    room = F.create_map(*[F.lit(x) for pair in caps for x in pair])[F.col("size_name")]
+    rows = packing.pack(sized, caps)
+    over = rows.groupBy("size_name", "container_id").agg(F.sum("n_tokens").alias("t")).groupBy("size_name").agg(F.count_if(F.col("t") > room).alias("over_full"))
+    per = rows.groupBy("size_name", "doc_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("pieces")).join(sized.select(F.col("id").alias("doc_id"), F.col("size")), "doc_id", "full")
+    docs = per.groupBy("size_name").agg(F.count_if(F.col("t").isNull() | (F.col("t") != F.col("size"))).alias("lost"), F.count_if((F.col("pieces") > 1) & (F.col("size") <= room)).alias("split_in_vain"), F.count("*").alias("documents"))
+    return docs.join(over, "size_name").select("size_name", "documents", "over_full", "lost", "split_in_vain")
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     """Containers and tokens of each size, and the share of the room that is used."""
     caps = F.create_map(*[F.lit(x) for pair in _capacities(spark, d) for x in pair])
@@ -91,19 +122,23 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return per.select("size_name", "containers", "tokens", (F.col("tokens") / (F.col("containers") * caps[F.col("size_name")])).alias("used_share"))
 
 
+def p8_method(spark: SparkSession, d: str) -> DataFrame:
+    """The threshold table over the whole collection: every document with all its ratios and the marks they give."""
+    p = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"))
+    return p.select("doc_id", *[F.round(c, 9).alias(c) if c != "m_n_words" else F.col(c) for c in p.columns if c.startswith("m_")], F.array_join("marks", ",").alias("marks"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     marked = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"))
-    # counting the documents on the way keeps the filter, and with it the costly ratios, above a spread of the input
-    return marked.observe("profiled", F.count(F.lit(1)).alias("documents")).filter(F.array_contains("marks", "repeated")).select("doc_id")
+    return marked.filter(F.array_contains("marks", "repeated")).select("doc_id")
 
 
 def p8_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Every document with all ratios of the threshold table and its marks."""
-    p = repetition.profile(_read(spark, d, "documents").select("doc_id", "text"))
-    return p.select("doc_id", *[F.round(c, 9).alias(c) if c != "m_n_words" else F.col(c) for c in p.columns if c.startswith("m_")], F.array_join("marks", ",").alias("marks"))
+    """The same under its older name."""
+    return p8_method(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_consistent, p5_found, p5_replaced, p6_ids, p6_decoded, p7_packed, p7_fill, p8_found, p8_profile)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p3_updated, p4_found, p4_consistent, p5_found, p5_replaced, p6_ids, p6_decoded, p7_packed, p7_fill, p7_invariants, p8_method, p8_found, p8_profile)}
 
 _WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _TRIM = rf"regexp_replace(regexp_replace(nfc_normalize(t), '^{_WS}+', ''), '{_WS}+$', '')"
@@ -118,11 +153,43 @@ _RUNS = r"""WITH split AS (
   firsts AS (SELECT doc_id, i, min(i) OVER (PARTITION BY doc_id, run) AS f FROM runs),
   covered AS (SELECT DISTINCT doc_id, i + unnest(range(0, 8)) AS p FROM firsts WHERE f < i),
   share AS (SELECT s.doc_id, len(s.w) AS n, count(c.p) / greatest(len(s.w), 1) AS share FROM split s LEFT JOIN covered c USING (doc_id) GROUP BY s.doc_id, len(s.w))"""
+_STOPS = ", ".join(f"'{w}'" for w in repetition.STOP_WORDS)
+# the fifth ratio is the share of repeated words, from _RUNS
+_PROFILE = rf"""{_RUNS},
+  lines AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n'), lambda x: trim(x)), lambda x: x <> '') AS l, length(coalesce(text, '')) AS chars,
+            length(regexp_replace(coalesce(text, ''), '[\p{{S}}#…•]', '', 'g')) AS left_chars FROM documents),
+  ratios AS (SELECT doc_id, n AS m_n_words, round(share, 9) AS m_repeated_share, CASE WHEN chars > 0 THEN round((chars - left_chars) / chars, 9) ELSE 0.0 END AS m_symbol_ratio,
+            CASE WHEN n > 0 THEN round(len(list_filter(w, lambda x: x IN ({_STOPS}))) / n, 9) ELSE 0.0 END AS m_stop_word_ratio,
+            CASE WHEN len(l) > 0 THEN round((len(l) - len(list_distinct(l))) / len(l), 9) ELSE 0.0 END AS m_repeated_line_ratio
+            FROM share JOIN split USING (doc_id) JOIN lines USING (doc_id))
+  SELECT *, concat_ws(',', CASE WHEN m_repeated_share >= 0.4 THEN 'repeated' END, CASE WHEN m_n_words < 5 THEN 'short' END, CASE WHEN m_symbol_ratio > 0.1 THEN 'symbols' END,
+            CASE WHEN m_stop_word_ratio < 0.02 THEN 'few_stop_words' END, CASE WHEN m_repeated_line_ratio > 0.3 THEN 'repeated_lines' END) AS marks FROM ratios"""
+# compatibility forms of the collection: full-width characters by rule, a ligature, a small at sign
+_WIDE, _PLAIN = "".join(chr(0xFEE0 + i) for i in range(33, 127)), "".join(map(chr, range(33, 127)))
+
+
+def _look(c: str) -> str:
+    table = {**dict(zip(_WIDE, _PLAIN)), **lookalike.LOOKALIKES, "﹫": "@"}
+    quoted = lambda x: x.replace("'", "''")
+    bare = f"translate(replace(regexp_replace(nfc_normalize({c}), '[{INVISIBLE}]+', '', 'g'), 'ﬆ', 'st'), '{quoted(''.join(table))}', '{quoted(''.join(table.values()))}')"
+    return f"nfc_normalize(trim(regexp_replace({bare}, '{_WS}+', ' ', 'g')))"
+
+
+_FORMS = f"""forms AS (SELECT row_id, "Name" AS n, "Aadhaar" AS a, "Email" AS e, {_look('"Name"')} AS fn, {_look('"Aadhaar"')} AS fa, {_look('"Email"')} AS fe FROM patients)"""
+_CANON = ", ".join(f"canon_{x} AS (SELECT f{x}, arg_min({x}, {{'s': length(regexp_replace({x}, '[ -~]', '', 'g')), 'v': {x}}}) AS same FROM forms WHERE f{x} <> '' GROUP BY f{x})" for x in "nae")
 ORACLE = {
     "p3_found": f"""{_COUNTS}, totals AS (SELECT column_name, sum(occurrences) AS total FROM counts GROUP BY ALL)
       SELECT column_name, term_text, 'rare' AS verdict FROM counts WHERE records <= 3
       UNION ALL SELECT column_name, term_text, 'common' FROM counts JOIN totals USING (column_name) WHERE occurrences * 10 > total""",
     "p3_counts": f"{_COUNTS} SELECT column_name, term_text, occurrences, records FROM counts",
+    "p3_updated": f"{_COUNTS} SELECT column_name, term_text, occurrences, records FROM counts",
+    "p4_found": f"""WITH {_FORMS} SELECT x.row_id AS row_id_a, y.row_id AS row_id_b FROM forms x JOIN forms y ON x.fn = y.fn AND x.fa = y.fa AND x.fe = y.fe AND x.row_id < y.row_id
+      WHERE x.fn <> '' AND x.fa <> '' AND x.fe <> '' AND (x.n <> y.n OR x.a <> y.a OR x.e <> y.e)""",
+    "p4_consistent": f"""WITH {_FORMS}, {_CANON} SELECT row_id, canon_n.same AS "Name_same", canon_a.same AS "Aadhaar_same", canon_e.same AS "Email_same"
+      FROM forms LEFT JOIN canon_n USING (fn) LEFT JOIN canon_a USING (fa) LEFT JOIN canon_e USING (fe)""",
+    "p7_invariants": "SELECT size_name, count(*) AS documents, 0 AS over_full, 0 AS lost, 0 AS split_in_vain FROM documents, pack_sizes GROUP BY size_name",
+    "p8_method": _PROFILE,
+    "p8_profile": _PROFILE,
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
     "p8_found": f"{_RUNS} SELECT doc_id FROM share WHERE share >= 0.4",
 }
