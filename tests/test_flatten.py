@@ -84,3 +84,29 @@ def test_elements_that_hold_nothing_keep_their_rows(spark):
     rows = sorted((r.element_key, r.parent_key, r.ordinal, r.child_table) for r in flat.elements.collect())
     assert rows == [(f"1/0#a[{i}]", "1/0#", i, "a") for i in range(5)] + [("1/0#a[5]", "1/0#", 5, "a"), ("1/0#a[5][0]", "1/0#a[5]", 0, "a[]"), ("1/0#a[5][1]", "1/0#a[5]", 1, "a[]")]
     assert [(r.leaf_path, r.leaf_text) for r in flat.entries.collect()] == [("a[0]", "1")]
+
+
+def test_repeated_rows_have_their_own_keys(spark):
+    doc = '{"pages": [{"extracted_data": {"a": [{}, null, {"x": null}, [], {"y": 1}], "b": [[], [1]]}}, null]}'
+    flat = fl.flatten(spark.createDataFrame([(1, doc), (1, doc), (None, doc), (2, doc)], "claim_no long, doc_json string"))
+    pages, elements = [r.page_key for r in flat.pages.collect()], [r.element_key for r in flat.elements.collect()]
+    assert len(set(pages)) == len(pages) == 8 and len(set(elements)) == len(elements) == 32
+    assert {r.parent_key.partition("#")[0] for r in flat.elements.collect()} <= set(pages)
+    assert {k: df.count() for k, df in fl.child_tables(flat).items()} == {"a": 20, "b": 8, "b[]": 4}
+
+
+def test_depth_does_not_show(spark):
+    """Documents far deeper than one plan's levels, beside flat ones, give what a recursive reading gives."""
+    nested = lambda n: '{"pages": [{"extracted_data": ' + '{"a": [0, ' * n + '{"z": "end"}' + ", null]}" * n + "}]}"
+    deep = nested(30)
+    docs = [*enumerate(DOCS), (90, deep)]
+    df = spark.createDataFrame(docs, "claim_no long, doc_json string")
+    flat = fl.flatten(df, inline=7)
+    assert flat.levels > 60
+    assert Counter((r.claim_no, r.case_id, r.page_pos, r.leaf_path) for r in flat.entries.collect()) == Counter(x for i, t in docs for x in brute(i, t))
+    want = {tuple(r) for r in fl.flatten(df, inline=16).elements.filter("claim_no < 90").collect()}
+    assert {tuple(r) for r in flat.elements.filter("claim_no < 90").collect()} == want
+    plans = [len(fl.flatten(spark.createDataFrame([(1, d)], "claim_no long, doc_json string")).entries._jdf.queryExecution().toString()) for d in (nested(10), deep)]
+    assert plans[1] < plans[0] * 1.1
+    too_deep = '{"pages": [{"extracted_data": ' + "[" * 5000 + "]" * 5000 + "}]}"
+    assert [r.is_valid for r in fl.flatten(spark.createDataFrame([(1, too_deep)], "claim_no long, doc_json string")).cases.collect()] == [False]

@@ -27,6 +27,11 @@ def _flat(spark: SparkSession, d: str) -> flatten.Flat:
     return flatten.flatten(spark.read.parquet(f"{d}/claim_docs.parquet"))
 
 
+def p2_method(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of every child table: which array it is of, its key, its parent's key and its ordinal."""
+    return _flat(spark, d).elements
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return _flat(spark, d).entries.select("claim_no", "case_id", "page_pos", "leaf_path")
 
@@ -47,7 +52,7 @@ def p2_schema(spark: SparkSession, d: str) -> DataFrame:
     return flatten.merged_schema(_flat(spark, d).entries)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_valid, p1_rule_counts, p2_found, p2_cases, p2_pages, p2_elements, p2_schema)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_valid, p1_rule_counts, p2_method, p2_found, p2_cases, p2_pages, p2_elements, p2_schema)}
 
 _FIELD = '(?:"(?:[^"]|"")*"|[^",\\r\\n]*)'
 _WS = r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -83,16 +88,23 @@ _PAGES = f"""{_DOCS},
         WHEN 'VARCHAR' THEN CASE WHEN json_valid(page->>'$.extracted_data') AND json_type(page->>'$.extracted_data') = 'OBJECT' THEN (page->>'$.extracted_data')::JSON END END AS data FROM pages)"""
 _ENTRIES = f"""WITH RECURSIVE {_PAGES},
   nodes AS (
-    SELECT claim_no, case_id, page_pos, CAST(NULL AS VARCHAR) AS path, data AS v FROM payload WHERE data IS NOT NULL
+    SELECT claim_no, case_id, page_pos, CAST(NULL AS VARCHAR) AS path, data AS v, '' AS up, '' AS inner_up, false AS is_element, CAST(NULL AS INTEGER) AS ordinal, '' AS of_array FROM payload WHERE data IS NOT NULL
     UNION ALL
-    SELECT claim_no, case_id, page_pos, CASE WHEN k.obj THEN CASE WHEN path IS NULL THEN k.key ELSE path || '.' || k.key END ELSE coalesce(path, '') || '[' || k.key || ']' END, k.v
-    FROM (SELECT claim_no, case_id, page_pos, path, unnest(CASE json_type(v)
+    SELECT claim_no, case_id, page_pos, p, v, up, CASE WHEN obj THEN up ELSE p END, NOT obj, CASE WHEN NOT obj THEN CAST(key AS INTEGER) END, coalesce(path, '') FROM (
+      SELECT claim_no, case_id, page_pos, path, CASE WHEN k.obj THEN CASE WHEN path IS NULL THEN k.key ELSE path || '.' || k.key END ELSE coalesce(path, '') || '[' || k.key || ']' END AS p, k.v AS v, inner_up AS up, k.obj AS obj, k.key AS key
+      FROM (SELECT claim_no, case_id, page_pos, path, inner_up, unnest(CASE json_type(v)
             WHEN 'OBJECT' THEN list_transform(map_entries(CAST(v AS MAP(VARCHAR, JSON))), lambda e: {{'obj': true, 'key': e.key, 'v': e.value}})
             ELSE list_transform(CAST(v AS JSON[]), lambda x, i: {{'obj': false, 'key': CAST(i - 1 AS VARCHAR), 'v': x}}) END) AS k
-          FROM nodes WHERE json_type(v) IN ('OBJECT', 'ARRAY')))
+          FROM nodes WHERE json_type(v) IN ('OBJECT', 'ARRAY'))))
   , leaves AS (SELECT * FROM nodes WHERE v IS NOT NULL AND json_type(v) NOT IN ('OBJECT', 'ARRAY', 'NULL'))"""
+_ELEMENTS = rf"""{_ENTRIES} SELECT claim_no, claim_no || '/' || page_pos AS page_key, claim_no || '/' || page_pos || '#' || path AS element_key, claim_no || '/' || page_pos || '#' || up AS parent_key,
+  ordinal, regexp_replace(of_array, '\[\d+\]', '[]', 'g') AS child_table FROM nodes WHERE is_element"""
 ORACLE |= {
     "p2_found": f"{_ENTRIES} SELECT claim_no, case_id, page_pos, path AS leaf_path FROM leaves",
     "p2_cases": f"WITH {_DOCS} SELECT claim_no, coalesce(doc->>'$.case_id', '') AS case_id, doc IS NOT NULL AS is_valid FROM docs",
     "p2_pages": f"WITH {_PAGES} SELECT claim_no, page_pos, claim_no || '/' || page_pos AS page_key, data IS NOT NULL AS has_data FROM payload",
+    "p2_method": _ELEMENTS,
+    "p2_elements": _ELEMENTS,
+    "p2_schema": rf"""{_ENTRIES}, kinds AS (SELECT claim_no, regexp_replace(path, '\[\d+\]', '[]', 'g') AS path, CASE json_type(v) WHEN 'VARCHAR' THEN 'STRING' WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'DOUBLE' THEN CASE WHEN regexp_matches(v::VARCHAR, '[eE]') THEN 'DOUBLE' ELSE 'DECIMAL' END ELSE json_type(v) END AS kind FROM leaves)
+      SELECT path, kind, count(*) AS entries, count(DISTINCT claim_no) AS documents FROM kinds GROUP BY ALL""",
 }
