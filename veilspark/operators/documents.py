@@ -235,8 +235,10 @@ def census_table(done: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(file_name, doc)`` of the JSON files of a folder (not below it), or of one file."""
     p = Path(path)
-    files = [p] if p.is_file() else sorted(f for f in p.iterdir() if f.is_file() and f.suffix.lower() == ".json") if p.is_dir() else []
-    if not files:
+    from veilspark.sources.files import for_tasks
+
+    found = [p] if p.is_file() else sorted(f for f in p.iterdir() if f.is_file() and f.suffix.lower() == ".json") if p.is_dir() else []
+    if not found:
         raise RunError("DATA_MISSING", "there are no JSON documents", str(path))
-    text = spark.read.text([f"file://{f.resolve()}" for f in files], wholetext=True)
+    text = spark.read.text([for_tasks(spark, f) for f in found], wholetext=True)
     return text.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("doc"))

@@ -25,7 +25,8 @@ from veilspark.functions import crypto, mask
 from veilspark.functions.keys import KeyFolder, private_dir, salt_key, write_secret
 from veilspark.functions.text import nfc, trim_unicode
 from veilspark.plans.errors import RunError
-from veilspark.session import cut, spread
+from veilspark.session import cut, on_one_machine, shared_dir, spread
+from veilspark.sources.files import by_tasks
 
 
 def missing(c: Column) -> Column:
@@ -101,14 +102,19 @@ class Vault:
 
     SCHEMA = "value string, token string"
 
-    def __init__(self, spark, path: str | Path):
+    def __init__(self, spark, path: str | Path, shared: str | None = None):
+        """``path`` is a folder of the driver; tasks write the mapping there, or on a cluster into ``shared``, by default the shared folder."""
         self.spark, self.path = spark, private_dir(path)
+        self.shared = shared or (None if on_one_machine(spark) else f"{shared_dir(spark)}/vault")
         self.file = self.path / "token_vault.json"
         self.state: dict[str, dict] = json.loads(self.file.read_text()) if self.file.exists() else {}
 
+    def _part(self, name: str) -> str:
+        return name if "/" in name else by_tasks(self.spark, self.path / name)
+
     def known(self, column: str) -> DataFrame:
         parts = self.state.get(column, {}).get("parts", [])
-        return self.spark.read.schema(self.SCHEMA).parquet(*[f"file://{(self.path / p).resolve()}" for p in parts]) if parts else self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(*[self._part(p) for p in parts]) if parts else self.spark.createDataFrame([], self.SCHEMA)
 
     def _save(self) -> None:
         write_secret(self.file, json.dumps(self.state, indent=1, sort_keys=True).encode())
@@ -143,7 +149,9 @@ class Vault:
                 return [todo[n] for n in ns]
 
             part = f"vault-{uuid.uuid4().hex}"
-            numbered.select("value", per_value(permuted, t.column)("n").alias("token")).write.parquet(f"file://{(self.path / part).resolve()}")
+            if self.shared:
+                part = f"{self.shared}/{part}"
+            numbered.select("value", per_value(permuted, t.column)("n").alias("token")).write.parquet(self._part(part))
             state["issued"] = run
             state["parts"].append(part)
         self._save()

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -344,7 +345,8 @@ def fpe_roundtrip(spark, d):
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}".removeprefix("file://")
+    """A place for a query's files: on a cluster a folder of the driver, whose contents tasks get by way of the shared folder."""
+    return f"{tempfile.mkdtemp(prefix='veilspark-')}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT c_custkey, c_mktsegment FROM customer")

@@ -21,7 +21,7 @@ from veilspark.operators.qi import QI
 from veilspark.plans import config as configuration
 from veilspark.plans.config import Config
 from veilspark.plans.errors import RunError
-from veilspark.sources import postgres, sinks, tables
+from veilspark.sources import files, postgres, sinks, tables
 
 log = logging.getLogger("veilspark")
 
@@ -59,7 +59,7 @@ def read_input(spark: SparkSession, c: Config, paths: Paths) -> Input:
         if not file.is_file():
             raise RunError("DATA_MISSING", "the staged input does not exist", str(file))
     elif paths.data.suffix == ".parquet" and paths.data.exists():
-        return Input(tables.read_parquet(spark, f"file://{paths.data.resolve()}"), "parquet")
+        return Input(tables.read_parquet(spark, files.for_tasks(spark, paths.data)), "parquet")
     elif paths.data.is_file():
         file = paths.data
     elif c.source:

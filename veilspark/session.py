@@ -5,6 +5,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilspark.plans.errors import RunError
+
 
 def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -15,6 +17,7 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config(SPREAD, cores)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -25,18 +28,25 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
     return s
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one machine's folders."""
+    return spark.sparkContext.master.startswith("local")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, one machine) a temporary folder is
-    made and set as the checkpoint folder.
+    Only where that setting is absent on one machine (tests) a temporary folder is made
+    and set as the checkpoint folder; on a cluster it must be set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
         if not d:
-            d = "file://" + tempfile.mkdtemp(prefix="veilspark-")
+            if not on_one_machine(spark):
+                raise RunError("CONFIG_INVALID_VALUE", "spark.checkpoint.dir must name a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="veilspark-")
             spark.sparkContext.setCheckpointDir(d)
     return d
 
@@ -51,15 +61,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Setting: over how many partitions inputs are spread before costly work on their rows; 0 leaves them as they are read.
+SPREAD = "spark.veilspark.spread"
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """``df`` over at least as many partitions as there are cores.
+    """``df`` over as many partitions as the setting ``SPREAD`` says, if it says so.
 
-    Only where a plain scan has fewer splits than cores (so its size is bounded by
-    cores times the split size) its rows are shuffled; larger inputs, and plans that
-    shuffle anyway, are left as they are.
+    For inputs of fewer splits than cores, such as the one-file tables of tests and
+    benchmarks; large inputs need none, so it is off unless set.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution()
-    if "Exchange" in plan.executedPlan().toString() or plan.toRdd().getNumPartitions() >= cores:
+    n = int(df.sparkSession.conf.get(SPREAD, "0"))
+    if n <= 1:
         return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+    return df.repartition(n, key) if key else df.repartition(n)

@@ -2,9 +2,7 @@
 from __future__ import annotations
 
 import csv
-import json
-import shutil
-import tempfile
+import io
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -12,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilspark.operators.sheets import ROW
-from veilspark.sources import xlsx
+from veilspark.sources import files, xlsx
 
 
 def _columns(df: DataFrame) -> list[str]:
@@ -30,34 +28,15 @@ def csv_text(c: str):
 
 
 def write_csv(df: DataFrame, path: str | Path) -> None:
-    """One file with minimal quotes and LF line ends, in row order.
-
-    Rows are sorted and written in parallel; the parts are then joined in order and
-    the file appears under its name at once.
-    """
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    work = Path(tempfile.mkdtemp(prefix=".writing-", dir=path.parent))
-    try:
-        line = ordered(df).select(F.concat_ws(",", *[csv_text(c) for c in _columns(df)]).alias("value"))
-        line.write.mode("overwrite").text(f"file://{(work / 'rows').resolve()}")
-        whole = work / "whole"
-        with open(whole, "wb") as out:
-            head = tempfile.SpooledTemporaryFile(mode="w+", newline="", encoding="utf-8")
-            csv.writer(head, lineterminator="\n").writerow(_columns(df))
-            head.seek(0)
-            out.write(head.read().encode())
-            for part in sorted((work / "rows").glob("part-*")):
-                with open(part, "rb") as f:
-                    shutil.copyfileobj(f, out, 1 << 20)
-        whole.replace(path)
-    finally:
-        shutil.rmtree(work, ignore_errors=True)
+    """One file with minimal quotes and LF line ends, in row order, sorted and written in parallel."""
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\n").writerow(_columns(df))
+    files.write_joined(ordered(df).select(F.concat_ws(",", *[csv_text(c) for c in _columns(df)]).alias("value")), path, head.getvalue().encode())
 
 
 def write_parquet(df: DataFrame, path: str | Path) -> None:
     """Parquet, written by all tasks at once; the way out for tables that no single file should hold."""
-    df.select(*[f"`{c}`" for c in _columns(df)]).write.mode("overwrite").parquet(f"file://{Path(path).resolve()}")
+    df.select(*[f"`{c}`" for c in _columns(df)]).write.mode("overwrite").parquet(files.by_tasks(df.sparkSession, path))
 
 
 def _texts(df: DataFrame):
@@ -66,13 +45,9 @@ def _texts(df: DataFrame):
 
 
 def write_json(df: DataFrame, path: str | Path) -> None:
-    """An array of objects, all values text, one object a line, streamed."""
-    names = _columns(df)
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("[")
-        for i, row in enumerate(_texts(df)):
-            f.write((",\n" if i else "\n") + json.dumps(dict(zip(names, row)), ensure_ascii=False))
-        f.write("\n]\n")
+    """An array of objects, all values text, one object a line, written in parallel."""
+    cells = F.struct(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in _columns(df)])
+    files.write_joined(ordered(df).select(F.concat(F.lit(","), F.to_json(cells)).alias("value")), path, b"[\n", b"]\n", skip=1)
 
 
 def write_xlsx(df: DataFrame, path: str | Path, sheet: str = "Sheet1") -> None:
@@ -102,7 +77,11 @@ def sample(df: DataFrame, rows: int = 10) -> list[dict[str, str]]:
 
 
 def write_documents(done: DataFrame, folder: str | Path, suffix: str = ".json") -> int:
-    """One file a document, named after its input; streamed through the driver."""
+    """One file a document, named after its input, streamed through the driver; into a ``.parquet`` folder all tasks write rows."""
+    if str(folder).endswith(".parquet"):
+        rows = done.filter("document IS NOT NULL")
+        rows.select("file_name", "document").write.mode("overwrite").parquet(files.by_tasks(done.sparkSession, folder))
+        return rows.count()
     folder = Path(folder)
     folder.mkdir(parents=True, exist_ok=True)
     n = 0

@@ -14,7 +14,7 @@ from veilspark.functions.text import is_blank
 from veilspark.operators.documents import dump_json, load_json
 from veilspark.operators.sheets import ROW, Sheet
 from veilspark.plans.errors import RunError
-from veilspark.sources import xlsx
+from veilspark.sources import files, xlsx
 
 KINDS = {".csv": "csv", ".json": "json", ".xlsx": "excel", ".xls": "excel"}
 
@@ -59,7 +59,8 @@ def _header(path: Path) -> list[str]:
 def read_csv(spark: SparkSession, path: str | Path) -> DataFrame:
     """A CSV file as text columns, null as ``""``, with the row number.
 
-    Rows are read as Latin-1 and decoded as strict UTF-8, so invalid bytes fail. Blank
+    One file is one partition, since a quoted cell may hold line breaks: tables too large
+    for that come as Parquet. Rows are read as Latin-1 and decoded as strict UTF-8, so invalid bytes fail. Blank
     records are skipped; a record of another width, or with broken quotes, fails.
     """
     path = Path(path)
@@ -68,7 +69,7 @@ def read_csv(spark: SparkSession, path: str | Path) -> DataFrame:
     raw = (
         spark.read.schema(", ".join(f"{n} string" for n in names) + ", broken string")
         .options(header=False, multiLine=True, quote='"', escape='"', encoding="ISO-8859-1", mode="PERMISSIVE", columnNameOfCorruptRecord="broken", emptyValue="", nullValue="\x00none", maxCharsPerColumn=-1, unescapedQuoteHandling="RAISE_ERROR")
-        .csv(f"file://{path.resolve()}")
+        .csv(files.for_tasks(spark, path))
         .withColumn("__n", F.monotonically_increasing_id())
         .filter(F.col("__n") > 0)
     )  # one file without splits is one partition, so the numbers follow the file
@@ -112,7 +113,7 @@ def _json_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_json(spark: SparkSession, path: str | Path) -> DataFrame:
     """A JSON array of objects; columns in the order they first appear, missing keys as ``""``."""
-    rows = spark.read.text(f"file://{Path(path).resolve()}", wholetext=True).mapInArrow(_json_rows, "n bigint, cells map<string,string>").persist()
+    rows = spark.read.text(files.for_tasks(spark, path), wholetext=True).mapInArrow(_json_rows, "n bigint, cells map<string,string>").persist()
     keys = rows.select("n", F.posexplode(F.map_keys("cells")).alias("i", "k")).groupBy("k").agg(F.min(F.struct("n", "i")).alias("at")).orderBy("at").limit(20_001)
     header = [r[0] for r in keys.collect()]
     if len(header) > 20_000:
