@@ -120,3 +120,21 @@ def test_token_space_and_missing_columns(spark, tmp_path):
         tq.apply(df, tq.Techniques(suppress=["a"], hashing=["a"]), keys.KeyFolder())
     with pytest.raises(RunError, match="KEY_MATERIAL_IN_OUTPUT"):
         keys.outside(tmp_path / "out" / "keys", tmp_path / "out")
+
+
+SCRIPTS = ["कुमारी", "一二 ९", "Ｎame Ⅷ", "ญี่ปุ่น", "Ǆ ǅ ª ͅ", "مُحَمَّد", "ab-12_é", "½ ² ٣", "😀 .,"]
+
+
+def test_no_letter_of_any_script_survives(spark):
+    """Built-in and Python paths use the same classes; cloaked text keeps no letter, mark or digit of its own."""
+    plain = mask.parse({"column": "v", "class_masking_mode": "fixed_class"})
+    steps = mask.parse({"column": "v", "class_masking_mode": "fixed_class", "regex_patterns": [{"regex": "never there"}]})
+    assert plain.built_in and not steps.built_in
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(SCRIPTS)], "i int, v string")
+    got = df.select("i", tq.mask_column(F.col("v"), plain).alias("a"), tq.mask_column(F.col("v"), steps).alias("b"), tq.cloak_column(F.col("v"), "v").alias("c")).orderBy("i").collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert [r.a for r in got][:2] == ["XXXXXX", "XX 0"]
+    for v, r in zip(SCRIPTS, got):
+        assert len(r.c) == len(v)
+        for x, y in zip(v, r.c):
+            assert (y.isascii() and y.isalnum()) if mask.class_of(x) else x == y

@@ -5,7 +5,9 @@ import os
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import lru_cache
 
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ class Mask:
     @property
     def built_in(self) -> bool:
         """Whether Spark's own functions can do it all."""
-        return not self.patterns and self.class_mode != "random_class" and not (self.class_mode == "fixed_class" and self.letter.isnumeric())
+        return not self.patterns and self.class_mode != "random_class" and not (self.class_mode == "fixed_class" and class_of(self.letter) == "digit")
 
 
 def derive(kind: str, delimiter: str = "", start: str = "", end: str = "") -> str:
@@ -160,12 +162,25 @@ def by_pattern(value: str, p: Pattern) -> str:
     return compiled(p.expression).sub(one, value)
 
 
+@lru_cache(maxsize=1 << 16)
+def class_of(c: str) -> str:
+    """``digit``, ``upper``, ``letter`` or nothing: the Unicode properties Number, Uppercase and Alphabetic.
+
+    Alphabetic holds vowel signs and other marks, so nothing of a word in any script is
+    left; the built-in expression of :func:`masked_column` uses the same properties.
+    """
+    return next((name for name, p in _CLASSES if p.match(c)), "")
+
+
+_CLASSES = [("digit", regex.compile(r"\p{N}")), ("upper", regex.compile(r"[\p{Alphabetic}&&\p{Uppercase}]", regex.V1)), ("letter", regex.compile(r"\p{Alphabetic}"))]
+
+
 def cloak(value: str) -> str:
     """Each letter or digit as a random ASCII one of its class, from the system's generator."""
     out = []
     for c in value:
         # rejection keeps the draw even
-        size, base = (10, 48) if c.isnumeric() else (26, 65) if c.isupper() else (26, 97) if c.isalpha() else (0, 0)
+        size, base = {"digit": (10, 48), "upper": (26, 65), "letter": (26, 97)}.get(class_of(c), (0, 0))
         if not size:
             out.append(c)
             continue
@@ -190,12 +205,6 @@ def masked(value: str, m: Mask) -> str:
         elif step == "class" and m.class_mode == "random_class":
             value = cloak(value)
         elif step == "class" and m.class_mode == "fixed_class":
-            value = "".join(m.digit if c.isnumeric() else m.letter if c.isalpha() or _mark(c) else c for c in value)
+            put = {"digit": m.digit, "upper": m.letter, "letter": m.letter}
+            value = "".join(put.get(class_of(c), c) for c in value)
     return value
-
-
-def _mark(c: str) -> bool:
-    """Vowel signs and other marks that count as alphabetic."""
-    import unicodedata
-
-    return unicodedata.category(c) == "Mc"
