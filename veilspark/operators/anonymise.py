@@ -12,20 +12,23 @@ import json
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from itertools import product
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilspark.operators.qi import INLINE, QI, bind_counts, category, typed, value_counts
+from veilspark.operators.qi import INLINE, QI, bind, category, typed, value_counts
 from veilspark.plans.errors import RunError
-from veilspark.session import spread
+from veilspark.session import cut, spread
 
 MAX_NODES = 1_000_000
 #: A histogram of up to this many cells is scored on the driver.
 LOCAL_CELLS = 200_000
 #: Cells times nodes that one Spark job scores at most.
 JOB_CELLS = 50_000_000
+#: Nodes that a search scores at once in Spark, where that many fit a job.
+AHEAD = 32
 GRID_K, GRID_SIGMA = (5, 10, 50, 100), (0.0, 0.01, 0.1)
 
 
@@ -73,11 +76,10 @@ def histogram(df: DataFrame, qis: Sequence[QI], initial: Sequence[int] | None =
 
 
 def prepare(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int, DataFrame]:
-    """Bound quasi-identifiers, number of rows, and the counts that all else is made of: one pass over the rows."""
-    known = typed(df, qis)
-    counts = value_counts(spread(df.select(*[f"`{q.name}`" for q in known])), known).persist()
-    bound, records = bind_counts(counts, known)
-    return bound, records, counts
+    """Bound quasi-identifiers, number of rows, and the compared values that a histogram at any width is made of."""
+    rows = spread(df.select(*[f"`{q.name}`" for q in typed(df, qis)]))
+    bound, records = bind(rows, qis)
+    return bound, records, rows.select(*[q.cell().alias(f"v{i}") for i, q in enumerate(bound)], F.lit(1).cast("bigint").alias("n"))
 
 
 def radices(qis: Sequence[QI]) -> list[int]:
@@ -169,7 +171,7 @@ class Scorer:
         self.cells = self.hist.count()
         self.known: dict[tuple[int, ...], list[Score]] = {}
         self.evaluated = 0
-        self.local = None
+        self.local, self.bins = None, {}
         if self.cells <= local_cells and sensitive is None:
             frame = self.hist.toPandas()
             self.local = (frame[[f"c{i}" for i in range(len(qis))]].to_numpy(np.int64), frame["n"].to_numpy(np.int64))
@@ -190,29 +192,41 @@ class Scorer:
                 self._spark(new[i : i + size])
         return [self.known[n] for n in nodes]
 
-    def _local(self, node: tuple[int, ...]) -> list[Score]:
-        cells, n = self.local
-        if not len(n):
-            return [Score(0, 0, 0) for _ in self.ks]
-        key, fits = np.zeros(len(n), np.int64), 1
-        columns = []
-        for i, (q, lv) in enumerate(zip(self.qis, node)):
-            u = cells[:, i]
+    def _binned(self, i: int, lv: int) -> tuple[np.ndarray, int]:
+        """The bins of one quasi-identifier at one level, from 0 for "no bin", and their number; made once."""
+        if (i, lv) not in self.bins:
+            q, u = self.qis[i], self.local[0][:, i]
             if q.kind == "uniform":
                 g = np.where(u < 0, -1, u // lv)
             else:
                 table = np.array([row[lv - 1] for row in q.intervals.up] if q.kind == "interval" else q.groups[lv - 1] if q.groups else [], dtype=np.int64)
                 g = np.where(u < 0, -1, table[np.maximum(u, 0)]) if len(table) else np.full(len(u), -1)
-            columns.append(g)
-            width = int(g.max()) + 2
+            g += 1
+            width = int(g.max()) + 1
+            self.bins[i, lv] = g.astype(np.int32) if width < 2**31 else g, width
+        return self.bins[i, lv]
+
+    def _local(self, node: tuple[int, ...]) -> list[Score]:
+        cells, n = self.local
+        if not len(n):
+            return [Score(0, 0, 0) for _ in self.ks]
+        key, fits = np.zeros(len(n), np.int64), 1
+        columns = [self._binned(i, lv) for i, lv in enumerate(node)]
+        for g, width in columns:
             fits *= width
             if fits < 2**62:
-                key = key * width + g + 1
+                key *= width
+                key += g
+        if fits <= 16 * len(n):  # few possible classes: count them in place
+            size = np.bincount(key, weights=n).astype(np.int64)
+            return self._judged(size[size > 0])
         if fits < 2**62:
             _, at = np.unique(key, return_inverse=True)
         else:
-            _, at = np.unique(np.stack(columns, 1), axis=0, return_inverse=True)
-        size = np.bincount(at.ravel(), weights=n).astype(np.int64)
+            _, at = np.unique(np.stack([g for g, _ in columns], 1), axis=0, return_inverse=True)
+        return self._judged(np.bincount(at.ravel(), weights=n).astype(np.int64))
+
+    def _judged(self, size: np.ndarray) -> list[Score]:
         out = []
         for k in self.ks:
             ok = size[size >= k]
@@ -248,54 +262,77 @@ class Scorer:
 # lattice
 
 
-@dataclass
 class Lattice:
-    """All nodes above an initial one, by distance from it."""
+    """All nodes above an initial one: a box of places, one axis for each quasi-identifier.
 
-    nodes: list[tuple[int, ...]]
-    levels: list[list[int]]
-    level_of: list[int]
-    above: list[list[int]]
-    below: list[list[int]]
+    What lies above a node is the box from its place upwards, what lies below the box
+    down from it, so settling either is one slice of an array.
+    """
+
+    def __init__(self, qis: Sequence[QI], initial: Sequence[int]):
+        self.chains = [q.chain(int(v)) for q, v in zip(qis, initial)]
+        self.shape = tuple(map(len, self.chains))
+        self.size = math.prod(self.shape)
+        if self.size > MAX_NODES:
+            raise RunError("LATTICE_TOO_LARGE", "the lattice is too large to search", f"{self.size} nodes, at most {MAX_NODES}")
+        self.level = sum(np.ix_(*[np.arange(n) for n in self.shape]), np.zeros(self.shape, np.int64)).astype(np.int32)
+        order = np.argsort(self.level, axis=None, kind="stable")  # by level, then in the order of nodes
+        self.levels = np.split(order, np.cumsum(np.bincount(self.level.ravel()))[:-1])
 
     @classmethod
     def build(cls, qis: Sequence[QI], initial: Sequence[int]) -> Lattice:
-        chains = [q.chain(int(v)) for q, v in zip(qis, initial)]
-        size = math.prod(map(len, chains))
-        if size > MAX_NODES:
-            raise RunError("LATTICE_TOO_LARGE", "the lattice is too large to search", f"{size} nodes, at most {MAX_NODES}")
-        after = [dict(zip(c, c[1:])) for c in chains]
-        lat = cls([tuple(map(int, initial))], [[0]], [0], [[]], [[]])
-        number = {lat.nodes[0]: 0}
-        while True:
-            fresh: list[int] = []
-            for at in lat.levels[-1]:
-                node = lat.nodes[at]
-                for i, step in enumerate(after):
-                    if (v := step.get(node[i])) is None:
-                        continue
-                    up = (*node[:i], v, *node[i + 1 :])
-                    j = number.get(up)
-                    if j is None:
-                        j = number[up] = len(lat.nodes)
-                        lat.nodes.append(up)
-                        lat.level_of.append(len(lat.levels))
-                        lat.above.append([])
-                        lat.below.append([])
-                        fresh.append(j)
-                    lat.above[at].append(j)
-                    lat.below[j].append(at)
-            if not fresh:
-                return lat
-            lat.levels.append(fresh)
-
-    def reach(self, start: int, up: bool, settle) -> None:
-        """Call ``settle`` on what lies above or below, not beyond where it says no."""
-        todo = [start]
-        while todo:
-            for j in (self.above if up else self.below)[todo.pop()]:
-                if settle(j):
-                    todo.append(j)
+        return cls(qis, initial)
+
+    @property
+    def nodes(self) -> list[tuple[int, ...]]:
+        return list(product(*self.chains))
+
+    def node(self, at: int) -> tuple[int, ...]:
+        return tuple(c[i] for c, i in zip(self.chains, np.unravel_index(at, self.shape)))
+
+
+class Tags:
+    """Which nodes are settled for one (k, limit), and how many of each level are not."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice, self.open = lattice, np.ones(lattice.shape, dtype=bool)
+        self.left = np.bincount(lattice.level.ravel())
+
+    def settle(self, at: int, passes: bool) -> None:
+        """A passing node settles all above it, a failing one all below."""
+        place = np.unravel_index(at, self.lattice.shape)
+        box = tuple(slice(i, None) if passes else slice(None, i + 1) for i in place)
+        part = self.open[box]
+        self.left -= np.bincount(self.lattice.level[box][part], minlength=len(self.left))
+        part[...] = False
+
+
+class Halving:
+    """The next node to look at: the middle one of the open nodes of the middle open level, nodes in falling order."""
+
+    def __init__(self, lattice: Lattice, tags: Sequence[Tags]):
+        self.lattice, self.tags, self.waiting = lattice, tags, list(lattice.levels)
+
+    def next(self) -> tuple[int, np.ndarray] | None:
+        levels = np.flatnonzero(sum(t.left for t in self.tags))
+        if not len(levels):
+            return None
+        level = levels[len(levels) // 2]
+        flat = self.waiting[level]
+        is_open = np.zeros(len(flat), dtype=bool)
+        for t in self.tags:
+            is_open |= t.open.ravel()[flat]
+        flat = self.waiting[level] = flat[is_open]
+        return int(flat[len(flat) - 1 - len(flat) // 2]), flat
+
+
+def look_ahead(scorer: Scorer, lattice: Lattice, at: int, candidates: np.ndarray) -> None:
+    """Where Spark scores, score with a node those next to it in its level: as many as one job takes, at most ``AHEAD``."""
+    if scorer.local is None:
+        most = min(AHEAD, JOB_CELLS // max(1, scorer.cells))
+        i = int(np.searchsorted(candidates, at))
+        near = candidates[max(0, i - most // 2) : i + most // 2 + 1]
+        scorer.scores([lattice.node(at), *(lattice.node(int(n)) for n in near)])
 
 
 def first_node(qis: Sequence[QI], max_classes: int) -> list[int]:
@@ -324,42 +361,30 @@ class Found:
 def search(scorer: Scorer, initial: Sequence[int], k: int, sigma: float, records: int, ahead: bool = True) -> Found:
     """The passing node that distorts least, by halving the levels with tags above and below.
 
-    A passing node settles all nodes above it, a failing one all below. ``ahead``
-    scores all open nodes of a level in one job when scores come from Spark.
+    A passing node settles all nodes above it, a failing one all below. ``ahead`` lets
+    Spark score neighbours of a node in the same job.
     """
     if k <= 0 or not 0 <= sigma <= 1 or records <= 0:
         raise RunError("GENERALIZATION_FAILED", "k and the number of records must be above 0 and suppression_limit in [0, 1]")
     which, limit = scorer.ks.index(k), allowed(sigma, records)
     lat = Lattice.build(scorer.qis, initial)
-    status: list[bool | None] = [None] * len(lat.nodes)
-    open_in = [len(x) for x in lat.levels]
-    descending = [sorted(x, key=lambda n: lat.nodes[n], reverse=True) for x in lat.levels]
-    passing, trace = [], []
-    while levels := [i for i, n in enumerate(open_in) if n]:
-        level = levels[len(levels) // 2]
-        candidates = descending[level] = [n for n in descending[level] if status[n] is None]
-        at = candidates[len(candidates) // 2]
-        if ahead and scorer.local is None:
-            scorer.scores(lat.nodes[n] for n in candidates)
-        s = scorer.scores([lat.nodes[at]])[0][which]
+    tags, passing, trace = Tags(lat), [], []
+    halving = Halving(lat, [tags])
+    while (found := halving.next()) is not None:
+        at, candidates = found
+        node = lat.node(at)
+        if ahead:
+            look_ahead(scorer, lat, at, candidates)
+        s = scorer.scores([node])[0][which]
         ok = s.suppressed <= limit
-        trace.append((lat.nodes[at], s, ok))
-
-        def settle(j: int, ok: bool = ok) -> bool:
-            if status[j] is not None:
-                return False
-            status[j] = ok
-            open_in[lat.level_of[j]] -= 1
-            return True
-
-        settle(at)
-        lat.reach(at, ok, settle)
+        trace.append((node, s, ok))
+        tags.settle(at, ok)
         if ok:
-            passing.append((lat.nodes[at], s))
+            passing.append((node, s))
     passing.sort(key=lambda x: x[1].order(x[0]))
     if not passing:
         raise RunError("GENERALIZATION_FAILED", "no node satisfies k within the suppression limit")
-    return Found(*passing[0], passing[:5], trace, len(lat.nodes))
+    return Found(*passing[0], passing[:5], trace, lat.size)
 
 
 @dataclass(frozen=True)
@@ -382,37 +407,21 @@ def parameter_grid(scorer: Scorer, initial: Sequence[int], records: int, ks: Seq
         return [Cell(k, s) for k in ks for s in sigmas]
     lat = Lattice.build(scorer.qis, initial)
     combos = [(k, s) for k in ks for s in sigmas]
-    status = [[None] * len(combos) for _ in lat.nodes]
-    left = [len(combos)] * len(lat.nodes)
-    open_in = [len(x) for x in lat.levels]
-    descending = [sorted(x, key=lambda n: lat.nodes[n], reverse=True) for x in lat.levels]
-    seen: list[int] = []
-    while levels := [i for i, n in enumerate(open_in) if n]:
-        level = levels[len(levels) // 2]
-        candidates = descending[level] = [n for n in descending[level] if left[n]]
-        if scorer.local is None:
-            scorer.scores(lat.nodes[n] for n in candidates)
-        at = candidates[len(candidates) // 2]
-        scores = scorer.scores([lat.nodes[at]])[0]
-        seen.append(at)
-        for c, (k, sigma) in enumerate(combos):
-            ok = scores[scorer.ks.index(k)].suppressed <= allowed(sigma, records)
-
-            def settle(j: int, c: int = c, ok: bool = ok) -> bool:
-                if status[j][c] is not None:
-                    return False
-                status[j][c] = ok
-                left[j] -= 1
-                if not left[j]:
-                    open_in[lat.level_of[j]] -= 1
-                return True
-
-            settle(at)
-            lat.reach(at, ok, settle)
+    tags = [Tags(lat) for _ in combos]
+    halving, seen = Halving(lat, tags), []
+    while (found := halving.next()) is not None:
+        at, candidates = found
+        node = lat.node(at)
+        look_ahead(scorer, lat, at, candidates)
+        scores = scorer.scores([node])[0]
+        seen.append(node)
+        for t, (k, sigma) in zip(tags, combos):
+            if t.open.ravel()[at]:
+                t.settle(at, scores[scorer.ks.index(k)].suppressed <= allowed(sigma, records))
     out = []
     for k, sigma in combos:
         i = scorer.ks.index(k)
-        fit = [(lat.nodes[n], scorer.known[lat.nodes[n]][i]) for n in seen]
+        fit = [(n, scorer.known[n][i]) for n in seen]
         fit = [x for x in fit if x[1].suppressed <= allowed(sigma, records)]
         out.append(Cell(k, sigma, *min(fit, key=lambda x: x[1].order(x[0]))) if fit else Cell(k, sigma))
     return out
@@ -500,8 +509,8 @@ def release(df: DataFrame, qis: Sequence[QI], node: Sequence[int], k: int, diver
     back, so rows of passing classes are not matched against a table of all classes.
     """
     names = [q.name for q in qis]
-    labelled = generalise(df, qis, node)
-    verdicts = class_verdicts(labelled, qis, k, diversity).persist()
+    labelled = generalise(spread(df), qis, node)
+    verdicts = cut(class_verdicts(labelled, qis, k, diversity))  # one row per class
     l = diversity.l if diversity else 1
     row = verdicts.agg(
         F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.count_if("passes").alias("classes"), F.coalesce(F.sum(F.when(F.col("passes"), F.col("size").cast("decimal(38,0)") * F.col("size"))), F.lit(0)).alias("dm"),

@@ -279,22 +279,26 @@ def domains(counts: DataFrame, qis: Sequence[QI]) -> DataFrame:
 MAX_DOMAIN = 100_000
 
 
-def bind_counts(counts: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
-    """The quasi-identifiers with ranges and domains of the data, and the number of rows."""
+def bind(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
+    """The quasi-identifiers with ranges and domains of the data, and the number of rows.
+
+    One pass with sums on the map side: rows, least and largest numbers per combination of
+    the categorical values, so numbers that are nearly all different shuffle nothing.
+    """
+    qis = typed(df, qis)
     numeric = [i for i, q in enumerate(qis) if q.kind != "category"]
-    found = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[f(f"v{i}").alias(f"{p}{i}") for i in numeric for p, f in (("lo", F.min), ("hi", F.max))]).first()
+    cells = df.select(*[q.cell().alias(f"v{i}") for i, q in enumerate(qis)])
+    per = cells.groupBy(*[f"v{i}" for i in range(len(qis)) if i not in numeric]).agg(F.count("*").alias("n"), *[f(f"v{i}").alias(f"{p}{i}") for i in numeric for p, f in (("lo", F.min), ("hi", F.max))]).persist()
+    found = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[f(f"{p}{i}").alias(f"{p}{i}") for i in numeric for p, f in (("lo", F.min), ("hi", F.max))]).first()
     bound = [replace(q, low=found[f"lo{i}"] or 0, high=found[f"hi{i}"] or 0) if q.kind == "uniform" else q for i, q in enumerate(qis)]
-    if any(q.kind == "category" for q in bound):
-        per: dict[str, list[str]] = {q.name: [] for q in bound if q.kind == "category"}
-        for c, v in domains(counts, bound).limit(MAX_DOMAIN * len(per) + 1).collect():
-            per[c].append(v)
-        if any(len(v) > MAX_DOMAIN for v in per.values()):
-            raise RunError("LATTICE_TOO_LARGE", "a categorical quasi-identifier has too many distinct values", max(per, key=lambda c: len(per[c])))
-        bound = [q.with_domain(per[q.name]) if q.kind == "category" else q for q in bound]
+    try:
+        if any(q.kind == "category" for q in bound):
+            values: dict[str, list[str]] = {q.name: [] for q in bound if q.kind == "category"}
+            for c, v in domains(per, bound).limit(MAX_DOMAIN * len(values) + 1).collect():
+                values[c].append(v)
+            if any(len(v) > MAX_DOMAIN for v in values.values()):
+                raise RunError("LATTICE_TOO_LARGE", "a categorical quasi-identifier has too many distinct values", max(values, key=lambda c: len(values[c])))
+            bound = [q.with_domain(values[q.name]) if q.kind == "category" else q for q in bound]
+    finally:
+        per.unpersist()
     return bound, found["n"]
-
-
-def bind(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int]:
-    """:func:`bind_counts` of a table."""
-    qis = typed(df, qis)
-    return bind_counts(value_counts(df, qis).persist(), qis)

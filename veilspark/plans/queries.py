@@ -150,6 +150,7 @@ def best_node(spark, d):
     for k in LINE_K:
         f = an.search(scorer, [1] * 4, k, 0.01, n)
         rows.append((k, f.score.dm_star, f.score.suppressed, f.score.classes, ",".join(map(str, f.node))))
+    scorer.close()
     return spark.createDataFrame(rows, "k int, dm_star bigint, suppressed bigint, classes bigint, node string")
 
 
@@ -157,6 +158,7 @@ def best_node(spark, d):
 def param_grid(spark, d):
     scorer, n = _scorer(spark, d)
     cells = an.parameter_grid(scorer, [1] * 4, n, LINE_K, an.GRID_SIGMA)
+    scorer.close()
     rows = [(c.k, float(c.sigma), c.score.dm_star, c.score.suppressed, c.score.classes, ",".join(map(str, c.node))) for c in cells if c.feasible]
     return spark.createDataFrame(rows, "k int, sigma double, dm_star bigint, suppressed bigint, classes bigint, node string")
 
@@ -165,6 +167,7 @@ def param_grid(spark, d):
 def top_nodes(spark, d):
     scorer, n = _scorer(spark, d)
     f = an.search(scorer, [1] * 4, 1000, 0.1, n)
+    scorer.close()
     return spark.createDataFrame([(i + 1, ",".join(map(str, node)), s.dm_star, s.suppressed, s.classes) for i, (node, s) in enumerate(f.top)], "place int, node string, dm_star bigint, suppressed bigint, classes bigint")
 
 

@@ -63,7 +63,7 @@ def read_input(spark: SparkSession, c: Config, paths: Paths) -> Input:
     elif paths.data.is_file():
         file = paths.data
     elif c.source:
-        df = postgres.read(spark, c.source).persist()
+        df = postgres.read(spark, c.source)
         if df.isEmpty():
             raise RunError("DB_NO_ROWS", "the input returned no rows", c.source.origin)
         return Input(df, "csv")
@@ -142,6 +142,16 @@ def publish(df: DataFrame, c: Config, paths: Paths, source: Input) -> dict:
 def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
     source = read_input(spark, c, paths)
     raw = source.df.persist()
+    kept = [raw]
+    try:
+        return _run_table(spark, c, paths, source, raw, kept)
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
+def _run_table(spark: SparkSession, c: Config, paths: Paths, source: Input, raw: DataFrame, kept: list[DataFrame]) -> dict:
+    """The run over the input; what it keeps in memory is added to ``kept``."""
     keys_at = paths.key_folder(c)
     keys = KeyFolder(keys_at)
     vault = techniques.Vault(spark, keys_at / "tokens") if c.techniques.tokens else None
@@ -149,6 +159,7 @@ def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
     table = raw
     if c.run_pass != "pass1" or not c.qis:
         table = techniques.apply(raw, c.techniques, keys, vault).persist()
+        kept.append(table)
         counts = techniques.counters(raw, c.techniques)
     common = {"preprocessing": counts, "chunk_count": raw.rdd.getNumPartitions()}
     if not c.qis:
@@ -165,6 +176,7 @@ def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
     initial = [1] * len(qis) if flow == "direct" else anonymise.first_node(qis, c.max_classes)
     hist = anonymise.histogram_of(value_counts, qis, initial)
     values = anonymise.sensitive_values(table, qis, c.diversity.attributes, c.diversity.l).persist() if c.diversity else None
+    kept += [values] if values is not None else []
     want_grid = c.run_pass != "pass2" and c.grid
     ks = sorted({*([c.k] if c.k else []), *(anonymise.GRID_K if want_grid else ())}) or [1]
     scorer = anonymise.Scorer(hist, qis, ks, values, c.diversity.l if c.diversity else 1)
@@ -172,6 +184,7 @@ def run_table(spark: SparkSession, c: Config, paths: Paths) -> dict:
     if cells:
         (paths.output / "parameter_grid.txt").write_text(_grid_text(cells))
     if c.run_pass == "pass1":
+        kept.append(scorer.hist)
         best = anonymise.k_optimal(scorer.hist, qis, c.sigma, records)
         return {"pass": "pass1", "phase": "awaiting_pass2", "k_optimal": best, "total_records": records, "suppression_limit": c.sigma, "parameter_grid": _grid_json(cells, qis), "histogram_buckets": scorer.cells, "initial_ri": list(initial)}
     found = anonymise.search(scorer, initial, c.k, c.sigma, records)

@@ -14,6 +14,7 @@ from veilspark.functions.text import is_blank
 from veilspark.operators.documents import dump_json, load_json
 from veilspark.operators.sheets import ROW, Sheet
 from veilspark.plans.errors import RunError
+from veilspark.session import cut
 from veilspark.sources import files, xlsx
 
 KINDS = {".csv": "csv", ".json": "json", ".xlsx": "excel", ".xls": "excel"}
@@ -113,7 +114,7 @@ def _json_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_json(spark: SparkSession, path: str | Path) -> DataFrame:
     """A JSON array of objects; columns in the order they first appear, missing keys as ``""``."""
-    rows = spark.read.text(files.for_tasks(spark, path), wholetext=True).mapInArrow(_json_rows, "n bigint, cells map<string,string>").persist()
+    rows = cut(spark.read.text(files.for_tasks(spark, path), wholetext=True).mapInArrow(_json_rows, "n bigint, cells map<string,string>"))
     keys = rows.select("n", F.posexplode(F.map_keys("cells")).alias("i", "k")).groupBy("k").agg(F.min(F.struct("n", "i")).alias("at")).orderBy("at").limit(20_001)
     header = [r[0] for r in keys.collect()]
     if len(header) > 20_000:
