@@ -125,3 +125,13 @@ def test_empty_input(spark, tmp_path):
     done = dc.anonymise(empty, parse_policy({"keep": ["a"]}), KeyFolder(tmp_path))
     assert done.count() == 0 and dc.census_table(done).count() == 0
     assert done.select(F.col("document")).count() == 0
+
+
+def test_deep_documents_and_half_characters(spark, tmp_path):
+    """What is nested too deeply counts as no JSON and fails nothing else; half a surrogate pair becomes U+FFFD."""
+    deep = '{"a": ' * 5000 + "1" + "}" * 5000
+    out, _ = run(spark, [deep, '{"a": "x\\ud83d"}', {"a": "y"}], {"keep": ["a"]}, tmp_path)
+    assert out == {"d0.json": None, "d1.json": {"a": "x�"}, "d2.json": {"a": "y"}}
+    both = spark.createDataFrame([("x", '{"resourceType": "Bundle", "entry": ' + "[" * 5000 + "]" * 5000 + "}"), ("y", '{"resourceType": "Bundle", "type": "b"}')], "file_name string, doc string")
+    done = bu.anonymise_bundles(both, bu.parse_bundle_policy({"keep": ["Bundle.type"]}), KeyFolder())
+    assert {r.file_name: r.document is None for r in done.collect()} == {"x": True, "y": False}

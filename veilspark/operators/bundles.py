@@ -13,8 +13,9 @@ from urllib.parse import unquote_to_bytes
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from veilspark.functions.deep_json import well_formed
 from veilspark.functions.keys import KeyFolder, salt_key
-from veilspark.operators.documents import CENSUS, CENSUS_TYPE, GONE, Keys, act, census_row, dump_json, load_json, show
+from veilspark.operators.documents import CENSUS, CENSUS_TYPE, GONE, Keys, act, census_row, dump_json, formed, load_json, show
 from veilspark.operators.policy import DEFAULT, RANK, Action, Policy, Rule, ascii_lower, parse_policy, texts
 from veilspark.operators.techniques import hash_value
 from veilspark.plans.errors import RunError
@@ -310,15 +311,15 @@ def anonymise_bundles(docs: DataFrame, policy: BundlePolicy, keys: KeyFolder) ->
         for b in batches:
             outs, rows = [], []
             for text in b.column(1).to_pylist():
+                out, census = None, []
                 try:
                     bundle = load_json(text or "")
-                except ValueError:
-                    bundle = None
-                if not isinstance(bundle, dict) or bundle.get("resourceType") != "Bundle":
-                    outs.append(None), rows.append([])
-                    continue
-                w = Walk(policy, salts)
-                outs.append(dump_json(w.run(bundle))), rows.append(w.census)
+                    if isinstance(bundle, dict) and bundle.get("resourceType") == "Bundle":
+                        w = Walk(policy, salts)
+                        out, census = well_formed(dump_json(w.run(bundle))), formed(w.census)
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than documents may be (some hundred levels)
+                    pass
+                outs.append(out), rows.append(census)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(outs, pa.string()), pa.array(rows, CENSUS_TYPE)], names=["file_name", "document", "census"])
 
     return docs.select("file_name", "doc").mapInArrow(run, f"file_name string, document string, census {CENSUS}")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.functions import crypto, mask
+from veilspark.functions.deep_json import well_formed
 from veilspark.functions.keys import KeyFolder, salt_key
 from veilspark.operators.policy import Action, Policy
 from veilspark.operators.techniques import Tokens, Vault, hash_value
@@ -130,6 +131,11 @@ def census_row(path: list[str] | str, value, action: str, by: str, sample: bool)
     return {"path": path if isinstance(path, str) else show(path), "non_empty": full, "action": action, "matched_by": by, "example": text[:40] if full and sample else None}
 
 
+def formed(census: list[dict]) -> list[dict]:
+    """Census rows as text that UTF-8 can hold."""
+    return [{k: well_formed(v) if isinstance(v, str) else v for k, v in row.items()} for row in census]
+
+
 def label(a: Action) -> str:
     return a.kind
 
@@ -171,11 +177,11 @@ def _token_values(policy: Policy):
             for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 wanted: list = []
                 try:
-                    walk(load_json(text), policy, Keys(), [], wanted)
-                except ValueError:
+                    walk(load_json(text or ""), policy, Keys(), [], wanted)
+                except (ValueError, RecursionError):
                     continue
                 for p, v in dict.fromkeys(wanted):
-                    names.append(name), patterns.append(p), values.append(v)
+                    names.append(name), patterns.append(p), values.append(well_formed(v))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(patterns, pa.string()), pa.array(values, pa.string())], names=["file_name", "pattern", "value"])
 
     return run
@@ -190,12 +196,13 @@ def _anonymiser(policy: Policy, keys: Keys, with_tokens: bool):
                 census: list[dict] = []
                 try:
                     doc = load_json(text or "")
-                except ValueError:
+                    mine = Keys(keys.hash_key, keys.encryption, dict(own or []), keys.contexts)
+                    kept = walk(doc, policy, mine, census)
+                    out = dump_json(None if kept is GONE else kept)
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than documents may be (some hundred levels)
                     outs.append(None), rows.append([])
                     continue
-                mine = Keys(keys.hash_key, keys.encryption, dict(own or []), keys.contexts)
-                kept = walk(doc, policy, mine, census)
-                outs.append(dump_json(None if kept is GONE else kept)), rows.append(census)
+                outs.append(well_formed(out)), rows.append(formed(census))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(outs, pa.string()), pa.array(rows, CENSUS_TYPE)], names=["file_name", "document", "census"])
 
     return run

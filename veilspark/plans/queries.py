@@ -485,16 +485,6 @@ def filename(spark, d):
     return listed.select(F.regexp_extract("file_name", r"^(\d+)", 1).cast("bigint").alias("claim_no"), link.alias("name")).filter("name IS NOT NULL AND trim(name) <> ''")
 
 
-@query("WITH d AS (SELECT CASE WHEN json_valid(doc_json) THEN doc_json::JSON END AS doc FROM claim_docs) SELECT 'case_id' AS path, count(*) AS documents_seen, count(*) FILTER (trim(coalesce(doc->>'$.case_id', '')) <> '') AS non_empty, 'keep' AS action FROM d WHERE json_type(doc) = 'OBJECT' AND json_type(doc, '$.case_id') NOT IN ('OBJECT', 'ARRAY')")
-def nested_census(spark, d):
-    return documents.census_table(_documents(spark, d)).filter("path = 'case_id'").select("path", "documents_seen", "non_empty", "action")
-
-
-@query()
-def nested_census_all(spark, d):
-    return documents.census_table(_documents(spark, d)).select("path", "documents_seen", "non_empty", "action", "matched_by")
-
-
 @query()
 def nested_documents(spark, d):
     return _documents(spark, d).select("file_name", "document")
@@ -523,23 +513,21 @@ def _bundles(spark, d) -> DataFrame:
 _FHIR = {"keep": ["Bundle.type", "Patient.gender", "Observation.code.text", "Observation.valueString"], "propagation": {"from": ["Patient.name[].text"]}}
 
 
-@query("SELECT c_custkey || '.json' AS file_name, 1 + least(5, count(o_orderkey)) AS entries FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
-def fhir_entries(spark, d):
-    """The first bundle of each customer, as its SQL has it; :func:`fhir_bundles` has all of them."""
-    return fhir_bundles(spark, d).filter(F.col("file_name").rlike(r"^-?\d+\.json$"))
+_NUMBERED = """WITH o AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 5 AS n FROM orders), b AS (SELECT c_custkey, n, count(o_orderkey) AS held FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_custkey, n)"""
 
 
-@query(
-    """WITH o AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 5 AS n FROM orders)
-    SELECT c_custkey || CASE WHEN n > 0 THEN '-' || (n + 1) ELSE '' END || '.json' AS file_name, 1 + count(o_orderkey) AS entries FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_custkey, n"""
-)
-def fhir_bundles(spark, d):
+@query(f"{_NUMBERED} SELECT c_custkey || CASE WHEN n > 0 THEN '-' || (n + 1) ELSE '' END || '.json' AS file_name, 1 + held AS entries FROM b")
+def fhir_entries(spark, d):
+    """How many resources each released bundle holds."""
     done = bundles.anonymise_bundles(_bundles(spark, d), bundles.parse_bundle_policy(_FHIR), KeyFolder())
     entries = F.try_variant_get(F.try_parse_json("document"), "$.entry", "array<variant>")
     return done.select("file_name", F.size(entries).cast("bigint").alias("entries"))
 
 
-@query()
+@query(
+    f"""{_NUMBERED}, c AS (SELECT count(*) AS bundles, sum(held)::BIGINT AS held FROM b) SELECT path, CASE WHEN of_bundle THEN bundles ELSE held END AS documents_seen, documents_seen AS non_empty, action FROM c, (VALUES ('Bundle.type', true, 'keep'), ('Patient.id', true, 'pseudonymise_id'),
+      ('Patient.name[].text', true, 'suppress'), ('Patient.gender', true, 'keep'), ('Observation.id', false, 'pseudonymise_id'), ('Observation.code.text', false, 'keep'), ('Observation.valueString', false, 'keep'), ('Observation.subject.reference', false, 'pseudonymise_reference')) t(path, of_bundle, action)"""
+)
 def fhir_census(spark, d):
     return documents.census_table(bundles.anonymise_bundles(_bundles(spark, d), bundles.parse_bundle_policy(_FHIR), KeyFolder())).select("path", "documents_seen", "non_empty", "action")
 

@@ -66,11 +66,15 @@ def read_csv(spark: SparkSession, path: str | Path) -> DataFrame:
     """
     path = Path(path)
     header = _header(path)
+    at = files.for_tasks(spark, path)
+    # quotes come in pairs; the parser would take what follows an open one up to the end as its cell
+    if (spark.read.text(at).agg(F.sum(F.length("value") - F.length(F.replace("value", F.lit('"'))))).first()[0] or 0) % 2:
+        raise RunError("DATA_MALFORMED_ROW", "a quoted cell is not closed", path.name)
     names = [f"c{i}" for i in range(len(header))]
     raw = (
         spark.read.schema(", ".join(f"{n} string" for n in names) + ", broken string")
         .options(header=False, multiLine=True, quote='"', escape='"', encoding="ISO-8859-1", mode="PERMISSIVE", columnNameOfCorruptRecord="broken", emptyValue="", nullValue="\x00none", maxCharsPerColumn=-1, unescapedQuoteHandling="RAISE_ERROR")
-        .csv(files.for_tasks(spark, path))
+        .csv(at)
         .withColumn("__n", F.monotonically_increasing_id())
         .filter(F.col("__n") > 0)
     )  # one file without splits is one partition, so the numbers follow the file
