@@ -95,11 +95,11 @@ def load(df: DataFrame, id_col: str, raw_col: str, columns: Sequence[str] = INTA
     """Split ``df`` into valid rows, failed records (id, record, reason, errors) and single errors."""
     rules = list(intake_rules() if rules is None else rules)
     spark = df.sparkSession
-    parsed = (
+    raw = (
         spread(df.select(F.col(id_col).alias("__id"), F.col(raw_col).alias("__raw"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keep)]), "__raw")
         .filter(~is_blank(F.col("__raw")))
-        .withColumn("__p", parse_record(F.col("__raw")))
     )
+    parsed = raw.withColumn("__p", parse_record(F.col("__raw")))
     ruled = [c for c in columns if any(r.column == c for r in rules)]
     cell = lambda c, v: F.struct(F.lit(c).alias("column"), v.alias("value"))
     fields = F.col("__p.fields")
@@ -118,12 +118,17 @@ def load(df: DataFrame, id_col: str, raw_col: str, columns: Sequence[str] = INTA
         .join(F.broadcast(table), "column")  # the rule table is a parameter of a few rows
         .filter(verdict)
     )
-    failed = errors.groupBy("__id", "__raw").agg(
+    # a record's key is its id and 128 bits of its text; only failing records are shuffled for it
+    key = [F.xxhash64("__raw").alias("__h1"), F.xxhash64(F.lit(1), F.col("__raw")).alias("__h2")]
+    failed = errors.select("*", *key).groupBy("__id", "__h1", "__h2").agg(
+        F.first("__raw").alias("__raw"),
         F.min_by("reason", "precedence").alias("reason"),
         F.array_sort(F.collect_set(F.concat_ws(":", "column", "rule_name"))).alias("failed_rules"),
     )
-    gone = failed.select(F.col("__id").alias("__fid"), F.col("__raw").alias("__fraw"))
-    clean = parsed.join(gone, F.col("__id").eqNullSafe(F.col("__fid")) & (F.col("__raw") == F.col("__fraw")), "left_anti")
+    gone = failed.select(F.col("__id").alias("__fid"), F.col("__h1").alias("__f1"), F.col("__h2").alias("__f2"))
+    same = F.col("__id").eqNullSafe(F.col("__fid")) & (F.col("__h1") == F.col("__f1")) & (F.col("__h2") == F.col("__f2"))
+    # records are joined as they are stored and parsed afterwards, so no text is shuffled twice
+    clean = raw.select("*", *key).join(gone, same, "left_anti").withColumn("__p", parse_record(F.col("__raw")))
     kept = [F.col(f"__k{i}").alias(f"{k}_src" if k in columns or k == id_col else k) for i, k in enumerate(keep)]
     ident = f"{id_col}_src" if id_col in columns else id_col
     valid = clean.select(F.col("__id").alias(ident), *kept, *[fields[i].alias(c) for i, c in enumerate(columns)])
