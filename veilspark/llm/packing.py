@@ -3,8 +3,8 @@
 A document's token ids are hashed into a count vector, projected to six dimensions
 by a fixed random matrix and placed on a Hilbert curve. The documents are range-
 sorted by their place on the curve and each range is packed along it: block after
-block, largest first into the fullest container that still has room; containers that
-stay loose are opened again for the next block. Only a document larger than the
+block of some hundred neighbours, largest first into the fullest container that still
+has room; containers that stay loose are opened again for the next block. Only a document larger than the
 capacity is split, into full containers and a rest.
 
 Defined results: null and empty documents have size 0 and go into a container like
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from veilspark.session import cut
 
 DIMENSIONS, BITS, BUCKETS = 6, 5, 256
-#: Neighbours on the curve that are packed together: some containers' worth, whatever the size of the table.
-BLOCK = 512
+#: Neighbours on the curve that are packed together, whatever the size of the table; below so many tokens of
+#: capacity in proportion more, since few documents share a container and fitting ones are rarer.
+BLOCK, ROOMY = 320, 2560
 #: A container at least this full is closed at the end of a block.
 TIGHT = 0.985
 
@@ -99,10 +100,14 @@ def fill(items: list[tuple], capacity: int) -> list[tuple[int, list]]:
 def packer(block: int, tight: float):
     """A ``mapInPandas`` function over rows sorted along the curve."""
 
+    fewest = block
+
     def run(frames):
         import pandas as pd
         from pyspark import TaskContext
 
+        block = fewest
+
         part = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         made = 0
         name, capacity, waiting = None, 0, []
@@ -139,7 +144,7 @@ def packer(block: int, tight: float):
                     if waiting or done:
                         yield rows(done + close(True))
                         done = []
-                    name, capacity = n, cap
+                    name, capacity, block = n, cap, max(fewest, fewest * ROOMY // cap)
                 start = piece = 0
                 while size - start > capacity:  # only a document above the capacity is split
                     done.append((0, [(ident, piece, start, capacity)]))
