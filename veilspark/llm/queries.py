@@ -158,7 +158,7 @@ _STOPS = ", ".join(f"'{w}'" for w in repetition.STOP_WORDS)
 _PROFILE = rf"""{_RUNS},
   lines AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n'), lambda x: trim(x)), lambda x: x <> '') AS l, length(coalesce(text, '')) AS chars,
             length(regexp_replace(coalesce(text, ''), '[\p{{S}}#…•]', '', 'g')) AS left_chars FROM documents),
-  ratios AS (SELECT doc_id, n AS m_n_words, round(share, 9) AS m_repeated_share, CASE WHEN chars > 0 THEN round((chars - left_chars) / chars, 9) ELSE 0.0 END AS m_symbol_ratio,
+  ratios AS (SELECT doc_id, n::INTEGER AS m_n_words, round(share, 9) AS m_repeated_share, CASE WHEN chars > 0 THEN round((chars - left_chars) / chars, 9) ELSE 0.0 END AS m_symbol_ratio,
             CASE WHEN n > 0 THEN round(len(list_filter(w, lambda x: x IN ({_STOPS}))) / n, 9) ELSE 0.0 END AS m_stop_word_ratio,
             CASE WHEN len(l) > 0 THEN round((len(l) - len(list_distinct(l))) / len(l), 9) ELSE 0.0 END AS m_repeated_line_ratio
             FROM share JOIN split USING (doc_id) JOIN lines USING (doc_id))
@@ -187,7 +187,7 @@ ORACLE = {
       WHERE x.fn <> '' AND x.fa <> '' AND x.fe <> '' AND (x.n <> y.n OR x.a <> y.a OR x.e <> y.e)""",
     "p4_consistent": f"""WITH {_FORMS}, {_CANON} SELECT row_id, canon_n.same AS "Name_same", canon_a.same AS "Aadhaar_same", canon_e.same AS "Email_same"
       FROM forms LEFT JOIN canon_n USING (fn) LEFT JOIN canon_a USING (fa) LEFT JOIN canon_e USING (fe)""",
-    "p7_invariants": "SELECT size_name, count(*) AS documents, 0 AS over_full, 0 AS lost, 0 AS split_in_vain FROM documents, pack_sizes GROUP BY size_name",
+    "p7_invariants": "SELECT size_name, count(*) AS documents, 0::BIGINT AS over_full, 0::BIGINT AS lost, 0::BIGINT AS split_in_vain FROM documents, pack_sizes GROUP BY size_name",
     "p8_method": _PROFILE,
     "p8_profile": _PROFILE,
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
