@@ -584,9 +584,9 @@ def xlsx_roundtrip(spark, d):
 def stream_classes(spark, d):
     stream = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = streams.window_classes(stream, [qi.categorical("event_type")], [1], "ts", "1 day", "30 days")
-    name = f"s{uuid.uuid4().hex}"
-    counts.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{shared_dir(spark)}/{name}").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.col("span.start").cast("date").alias("day"), "event_type", "size")
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    streams.publish_classes(counts, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return streams.latest_classes(spark, f"{at}/out", ["event_type"]).select(F.col("span.start").cast("date").alias("day"), "event_type", "size")
 
 
 @query("WITH j AS (SELECT event_id, event_type, '[' || (user_id - user_id % 10) || '-' || (user_id - user_id % 10 + 9) || ']' AS user_id FROM events), c AS (SELECT *, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM j) SELECT event_id, user_id, event_type FROM c WHERE n >= 135")
@@ -594,4 +594,4 @@ def stream_release(spark, d):
     stream = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parquet*").select("event_id", "user_id", "event_type")
     at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     streams.publish(stream, [qi.uniform("user_id"), qi.categorical("event_type")], [10, 1], 135, f"{at}/out", f"{at}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{at}/out/released")
+    return spark.read.parquet(f"{at}/out/released").drop("batch")

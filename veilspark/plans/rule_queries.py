@@ -438,7 +438,7 @@ def fhir_patients(spark, d):
     return _released(spark, d).filter("kind = 'Patient'").select("file_name", "id", "gender", "has_name")
 
 
-@query(f"WITH {_ORDERS} SELECT o_orderstatus AS status, count(*) AS observations, 0 AS left_over FROM o WHERE o_orderstatus <> 'F' GROUP BY ALL")
+@query(f"WITH {_ORDERS} SELECT o_orderstatus AS status, count(*) AS observations, 0::BIGINT AS left_over FROM o WHERE o_orderstatus <> 'F' GROUP BY ALL")
 def fhir_tidy(spark, d):
     """What belongs to a value that went goes with it."""
     rows = _released(spark, d).filter("kind = 'Observation'")
