@@ -71,10 +71,9 @@ def repeated_share(words: Column, run: int = 8) -> Column:
     return let(words, body)
 
 
-def metrics(text: Column) -> dict[str, Column]:
-    """The ratios a threshold may name, each a built-in expression over the text."""
+def metrics(text: Column, words: Column) -> dict[str, Column]:
+    """The ratios a threshold may name, each a built-in expression over the text and its words."""
     t = F.coalesce(text, F.lit(""))
-    words = words_of(text)
     chars = F.length(t)
     lines = F.filter(F.transform(F.split(t, r"\r\n|\r|\n"), lambda x: F.trim(x)), lambda x: x != "")
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
@@ -90,10 +89,18 @@ def metrics(text: Column) -> dict[str, Column]:
 
 def profile(df: DataFrame, text_col: str = "text", thresholds: Sequence[Threshold] = THRESHOLDS) -> DataFrame:
     """``df`` without its text, with every metric the table names (``m_<metric>``) and ``marks``."""
-    have = metrics(F.col(text_col))
-    used = {t.metric: have[t.metric] for t in thresholds}
+    named = list(dict.fromkeys(t.metric for t in thresholds))
     compare = {">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b}
-    rows = spread(df)
-    measured = rows.select(*[c for c in df.columns if c != text_col and not c.startswith("m_")], *[v.alias(f"m_{k}") for k, v in used.items()])
-    marks = F.array_compact(F.array(*[F.when(compare[t.compare](F.col(f"m_{t.metric}"), F.lit(t.limit)), F.lit(t.name)) for t in thresholds]))
-    return measured.withColumn("marks", marks)
+
+    def ratios(words: Column) -> Column:
+        have = metrics(F.col(text_col), words)
+        return F.struct(*[have[m].alias(f"m_{m}") for m in named])
+
+    def marked(m: Column) -> Column:
+        marks = F.array_compact(F.array(*[F.when(compare[t.compare](m[f"m_{t.metric}"], F.lit(t.limit)), F.lit(t.name)) for t in thresholds]))
+        return F.struct(*[m[f"m_{x}"].alias(f"m_{x}") for x in named], marks.alias("marks"))
+
+    # one expression, in which the words and each ratio are bound once, also where a filter on the marks is pushed into it
+    whole = let(let(words_of(F.col(text_col)), ratios), marked).alias("__profile")
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col and not c.startswith("m_") and c != "marks"]
+    return spread(df).select(*others, whole).select(*others, "__profile.*")
