@@ -12,4 +12,4 @@ os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
 def spark():
     from veilspark.session import local_session
 
-    return local_session("4", "3g")
+    return local_session("4", "3g", spark__veilspark__spread="0")
