@@ -77,7 +77,7 @@ def histogram(df: DataFrame, qis: Sequence[QI], initial: Sequence[int] | None =
 
 def prepare(df: DataFrame, qis: Sequence[QI]) -> tuple[list[QI], int, DataFrame]:
     """Bound quasi-identifiers, number of rows, and the compared values that a histogram at any width is made of."""
-    rows = spread(df.select(*[f"`{q.name}`" for q in typed(df, qis)]))
+    rows = df.select(*[f"`{q.name}`" for q in typed(df, qis)])
     bound, records = bind(rows, qis)
     return bound, records, rows.select(*[q.cell().alias(f"v{i}") for i, q in enumerate(bound)], F.lit(1).cast("bigint").alias("n"))
 
