@@ -18,7 +18,7 @@ from veilspark.operators.policy import DEFAULT, parse_policy
 from veilspark.plans import config, run
 from veilspark.plans.errors import RunError
 from veilspark.plans.queries import _BASE, _BLANK, _POLICY, SALT, _documents, _masked, _pad, _strip, _t
-from veilspark.sources import postgres, sinks, tables
+from veilspark.sources import files, postgres, sinks, tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -364,8 +364,9 @@ def documents_run(spark, d):
     """A whole run over a folder of documents: files read, files written, what failed, the census file."""
     root = _folder()
     (root / "docs").mkdir(), (root / "config").mkdir()
-    for n, text in _t(spark, d, "claim_docs", "claim_no", "doc_json").toLocalIterator():
-        (root / "docs" / f"{n}.json").write_text(text or "", encoding="utf-8")
+    for n, text in files.streamed(_t(spark, d, "claim_docs", "claim_no", "doc_json")):
+        with open(f"{root}/docs/{n}.json", "wb") as f:
+            f.write((text or "").encode())
     (root / "config" / "c.json").write_text(json.dumps({"data_type": "t", "t": {"nested_json": True, "input_path": str(root / "docs"), **_POLICY}}))
     out = run.run(spark, run.Paths.under(root))["outputs"]
     census = {line.split(",")[0]: line.split(",") for line in (root / "output" / "nested_json_census.csv").read_text().splitlines()}

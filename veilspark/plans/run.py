@@ -216,20 +216,25 @@ def _released(c: Config, paths: Paths, source: Input, table: DataFrame, qis: lis
 
 def run_documents(spark: SparkSession, c: Config, paths: Paths) -> dict:
     """Nested JSON or FHIR bundles of a folder."""
-    section, keys_at = c.section, paths.key_folder(c)
+    keys_at = paths.key_folder(c)
     keys = KeyFolder(keys_at)
+    with files.scratch(spark) as folder:
+        return _run_documents(spark, c, paths, keys_at, keys, folder)
+
+
+def _run_documents(spark: SparkSession, c: Config, paths: Paths, keys_at: Path, keys: KeyFolder, scratch: str) -> dict:
+    """The run over the documents; what it keeps for its steps is below ``scratch``."""
+    section = c.section
     dry = bool(section.get("dry_run", False))
     at = Path(section["input_path"])
-    docs = documents.read_documents(spark, str(at if at.is_absolute() else paths.root / at))
+    docs = documents.read_documents(spark, str(at if at.is_absolute() else paths.root / at), f"{scratch}/in")
     if c.documents == "fhir_bundle":
-        done, suffix = bundles.anonymise_bundles(docs, bundles.parse_bundle_policy(section), keys), "_anonymised.fhir.json"
+        done, suffix = bundles.anonymise_bundles(docs, bundles.parse_bundle_policy(section), keys, True), "_anonymised.fhir.json"
     else:
         policy = parse_policy(section)
         vault = techniques.Vault(spark, keys_at / "tokens") if any(r.action.kind == "tokenization" for r in policy.rules) else None
-        done, suffix = documents.anonymise(docs, policy, keys, vault, True, dict(section.get("key_contexts") or {})), ".json"
-    from veilspark.session import cut
-
-    done = cut(done)
+        done, suffix = documents.anonymise(docs, policy, keys, vault, True, dict(section.get("key_contexts") or {}), True), ".json"
+    done = files.table_at(done, f"{scratch}/done")
     total, good = done.agg(F.count("*"), F.count("document")).first()
     if not good:
         raise RunError("DATA_JSON_INVALID", "no document could be read", str(at))

@@ -6,10 +6,16 @@ there, and one-file outputs reach it from the shared folder through the driver.
 """
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +91,67 @@ def write_joined(lines: DataFrame, path: str | Path, head: bytes = b"", tail: by
     if not to_fs.rename(draft, target):
         raise RunError("INTERNAL_ERROR", "the output could not be moved to its place", str(path))
     from_fs.delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A new path in the shared folder; what was written there is removed in the end."""
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        fs, p = place(spark, folder)
+        fs.delete(p, True)
+
+
+def table_at(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written once by all tasks, and read from there."""
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Bytes of small files in one packed file, about what Spark reckons for opening a file: as many as fit the cores go into one task.
+PACK = 4 << 20
+
+
+def _packs(found: Iterable[str]) -> Iterator[pa.Table]:
+    names, texts, size = [], [], 0
+    for f in found:
+        with open(f, "rb", buffering=0) as file:
+            names.append(os.path.basename(f)), texts.append(file.readall())
+        size += len(texts[-1])
+        if size >= PACK:
+            yield pa.table({"file_name": names, "content": pa.array(texts, pa.binary())})
+            names, texts, size = [], [], 0
+    if names:
+        yield pa.table({"file_name": names, "content": pa.array(texts, pa.binary())})
+
+
+def packed(spark: SparkSession, found: Iterable[str], folder: str) -> DataFrame:
+    """``(file_name, content)`` of files of the driver, a row for each, empty ones too.
+
+    The driver copies them into Parquet files of ``PACK`` bytes in ``folder``, so that
+    neither the files to list nor the tasks are as many as the small files.
+    """
+    to_fs, to = place(spark, folder)
+    to_fs.mkdirs(to)
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    with tempfile.TemporaryDirectory(prefix="veilspark-") as at:
+        for n, table in enumerate(_packs(found)):
+            pq.write_table(table, draft := f"{at}/part-{n:06d}.parquet", compression="zstd")
+            to_fs.copyFromLocalFile(True, True, jvm.Path(f"file://{draft}"), to)
+    return spark.read.schema("file_name string, content binary").parquet(to.toString())
+
+
+def streamed(df: DataFrame) -> Iterator[tuple]:
+    """The rows of ``df`` on the driver: all tasks write at once, then part after part is read, a few rows at a time."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    with scratch(spark) as folder, tempfile.TemporaryDirectory(prefix="veilspark-") as at:
+        df.write.option("compression", "zstd").parquet(folder)
+        fs, p = place(spark, folder)
+        for part in sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")):
+            fs.copyToLocalFile(False, jvm.Path(part), jvm.Path(f"file://{at}/part"), True)
+            with pq.ParquetFile(f"{at}/part") as f:
+                for b in f.iter_batches(256):
+                    yield from zip(*(c.to_pylist() for c in b.columns))

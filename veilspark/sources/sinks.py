@@ -77,7 +77,7 @@ def sample(df: DataFrame, rows: int = 10) -> list[dict[str, str]]:
 
 
 def write_documents(done: DataFrame, folder: str | Path, suffix: str = ".json") -> int:
-    """One file a document, named after its input, streamed through the driver; into a ``.parquet`` folder all tasks write rows."""
+    """One file a document, named after its input, written by the driver; into a ``.parquet`` folder all tasks write rows."""
     if str(folder).endswith(".parquet"):
         rows = done.filter("document IS NOT NULL")
         rows.select("file_name", "document").write.mode("overwrite").parquet(files.by_tasks(done.sparkSession, folder))
@@ -85,8 +85,9 @@ def write_documents(done: DataFrame, folder: str | Path, suffix: str = ".json")
     folder = Path(folder)
     folder.mkdir(parents=True, exist_ok=True)
     n = 0
-    for name, doc in done.select("file_name", "document").filter("document IS NOT NULL").toLocalIterator(prefetchPartitions=True):
-        (folder / (Path(name).stem + suffix)).write_text(doc + "\n", encoding="utf-8")
+    for name, doc in files.streamed(done.select("file_name", "document").filter("document IS NOT NULL")):
+        with open(f"{folder}/{Path(name).stem}{suffix}", "wb") as f:
+            f.write(f"{doc}\n".encode())
         n += 1
     return n
 
